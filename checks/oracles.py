@@ -6,7 +6,6 @@ from checks.queries import SUMMARY
 from checks.views import with_views
 
 ISO = "'%Y-%m-%dT%H:%M:%S.%fZ'"
-OBSERVED = "state, timestamp, source, round(demand_mw, 6) AS demand_mw, ingestion_timestamp"
 HISTORY = "TIMESTAMP '2024-01-20'"
 OVERLAP = "TIMESTAMP '2024-01-16'"
 ORDER_HISTORY = "TIMESTAMP '1998-01-01'"
@@ -18,7 +17,11 @@ def iso(time: str) -> str:
 
 
 def rounded(expression: str, name: str) -> str:
-    return f"round({expression}, 6) AS {name}"
+    """As in ``checks.queries.present``: a multiple of 2^-16."""
+    return f"round(({expression}) * 65536) / 65536 AS {name}"
+
+
+OBSERVED = f"state, timestamp, source, {rounded("demand_mw", "demand_mw")}, ingestion_timestamp"
 
 
 def request(end: str = "ingestion_timestamp", hours: int = 48) -> str:
@@ -50,15 +53,15 @@ def frequency_records(rows: str = f"v_frequency, {TWICE}", time: str | None = No
         "v_frequency",
         then=f"""
         SELECT 'grid_frequency' AS dataset, ingestion_timestamp, {time} AS timestamp,
-          round(frequency_hz, 6) AS frequency_hz, region FROM {rows}""",
+          {rounded("frequency_hz", "frequency_hz")}, region FROM {rows}""",
     )
 
 
-STATE_DAILY = """
-    state, region, CAST(timestamp AS DATE) AS date, round(avg(demand_mw), 6) AS avg_demand_mw,
-    round(max(demand_mw), 6) AS peak_demand_mw, round(min(demand_mw), 6) AS min_demand_mw,
-    round(max(demand_mw) - min(demand_mw), 6) AS demand_range_mw,
-    round(avg(frequency_hz), 6) AS avg_frequency_hz, count(*) AS observations,
+STATE_DAILY = f"""
+    state, region, CAST(timestamp AS DATE) AS date, {rounded("avg(demand_mw)", "avg_demand_mw")},
+    {rounded("max(demand_mw)", "peak_demand_mw")}, {rounded("min(demand_mw)", "min_demand_mw")},
+    {rounded("max(demand_mw) - min(demand_mw)", "demand_range_mw")},
+    {rounded("avg(frequency_hz)", "avg_frequency_hz")}, count(*) AS observations,
     count(*) FILTER (WHERE source_type = 'official') AS official_observations,
     count(*) FILTER (WHERE source_type = 'modeled') AS modeled_observations,
     max(installed_in_state_mw) AS installed_in_state_mw,
@@ -80,9 +83,10 @@ NEWEST_OF_THREE = (
     f"greatest({newest('v_national_demand')}, {newest('v_fuelmix')}, {newest('v_frequency')})"
 )
 
-DEMAND_DAILY = """
-    SELECT CAST(timestamp AS DATE) AS date, round(avg(demand_mw), 6) AS avg_national_demand_mw,
-      max(demand_mw) AS peak_national_demand_mw, min(demand_mw) AS min_national_demand_mw,
+DEMAND_DAILY = f"""
+    SELECT CAST(timestamp AS DATE) AS date, {rounded("avg(demand_mw)", "avg_national_demand_mw")},
+      {rounded("max(demand_mw)", "peak_national_demand_mw")},
+      {rounded("min(demand_mw)", "min_national_demand_mw")},
       count(*) AS demand_observations
     FROM v_national_demand GROUP BY CAST(timestamp AS DATE)"""
 
@@ -104,11 +108,11 @@ FUEL_ROUNDED = ", ".join(rounded(fuel, fuel) for fuel in FUELS)
 
 MIX = f"SELECT date, {FUEL_COLUMNS}, sum(avg_mw) AS total FROM ({FUEL_DAILY}) GROUP BY date"
 RENEWABLE = "(coalesce(hydro, 0) + coalesce(solar, 0) + coalesce(wind, 0))"
-SHARES = f"""{FUEL_ROUNDED}, round(total, 6) AS total_generation_mw,
-    round({RENEWABLE}, 6) AS renewable_generation_mw,
-    round(coalesce(thermal, 0), 6) AS thermal_generation_mw,
-    round(CASE WHEN total > 0 THEN {RENEWABLE} / total * 100 END, 6) AS renewable_share_pct,
-    round(CASE WHEN total > 0 THEN coalesce(thermal, 0) / total * 100 END, 6) AS thermal_share_pct"""
+SHARES = f"""{FUEL_ROUNDED}, {rounded("total", "total_generation_mw")},
+    {rounded(f"{RENEWABLE}", "renewable_generation_mw")},
+    {rounded("coalesce(thermal, 0)", "thermal_generation_mw")},
+    {rounded(f"CASE WHEN total > 0 THEN {RENEWABLE} / total * 100 END", "renewable_share_pct")},
+    {rounded("CASE WHEN total > 0 THEN coalesce(thermal, 0) / total * 100 END", "thermal_share_pct")}"""
 
 WEATHER_MEASURES = (
     "temperature",
@@ -133,7 +137,7 @@ DEMAND_HOURLY = f"SELECT {HOUR_KEY}, {DEMAND_MEASURES} FROM v_demand GROUP BY AL
 OFFICIAL_HOURLY = f"""SELECT {HOUR_KEY}, {DEMAND_MEASURES} FROM v_demand
     WHERE source_type = 'official' GROUP BY ALL"""
 WEATHER_HOURLY = f"SELECT {HOUR_KEY}, {WEATHER_AVERAGES} FROM v_weather GROUP BY ALL"
-DEMAND_ROUNDED = "round(avg_demand_mw, 6) AS avg_demand_mw, peak_demand_mw, min_demand_mw, demand_observations"
+DEMAND_ROUNDED = f"{rounded("avg_demand_mw", "avg_demand_mw")}, {rounded("peak_demand_mw", "peak_demand_mw")}, {rounded("min_demand_mw", "min_demand_mw")}, demand_observations"
 
 ADEQUACY = (
     "peak_demand_mw",
@@ -171,8 +175,8 @@ HOURLY_REQUESTS = f"""
 IN_WINDOW = """from_timestamp = '2024-01-05T10:00:00.000000Z'
       AND to_timestamp = '2024-01-05T11:00:00.000000Z'"""
 
-DEMAND_COLUMNS = """state, timestamp, region, round(demand_mw, 6) AS demand_mw,
-    round(peak_mw, 6) AS peak_mw, round(frequency_hz, 6) AS frequency_hz, source, source_type,
+DEMAND_COLUMNS = f"""state, timestamp, region, {rounded("demand_mw", "demand_mw")},
+    {rounded("peak_mw", "peak_mw")}, {rounded("frequency_hz", "frequency_hz")}, source, source_type,
     rolling_peak_24mo_mw, installed_in_state_mw, allocated_share_mw, ingestion_timestamp"""
 
 ORACLES: dict[str, str] = {
@@ -180,7 +184,7 @@ ORACLES: dict[str, str] = {
         "v_demand",
         then=f"""
         SELECT {envelope("state_demand_timeseries")}, state, {iso("timestamp")} AS first_timestamp,
-          round(demand_mw, 6) AS first_demand_mw, 'n/a' AS second_timestamp FROM v_demand""",
+          {rounded("demand_mw", "first_demand_mw")}, 'n/a' AS second_timestamp FROM v_demand""",
     ),
     "envelope_build": with_views(
         "v_weather",
@@ -236,7 +240,7 @@ ORACLES: dict[str, str] = {
         "v_demand",
         then=f"""
         SELECT state, CASE WHEN readable THEN {iso("timestamp")} ELSE 'n/a' END AS timestamp, region,
-          round(demand_mw, 6) AS demand_mw, source_type FROM v_demand, {TWICE}""",
+          {rounded("demand_mw", "demand_mw")}, source_type FROM v_demand, {TWICE}""",
     ),
     "flatten_outer_nulls": with_views(
         "v_frequency",
@@ -254,17 +258,17 @@ ORACLES: dict[str, str] = {
           CASE WHEN readable THEN {iso("timestamp")} ELSE 'n/a' END AS timestamp FROM v_demand, {TWICE}""",
     ),
     "conform_state_demand": with_views("v_demand", then=f"SELECT {DEMAND_COLUMNS} FROM v_demand"),
-    "conform_national_demand": with_views("v_national_demand", then="SELECT * FROM v_national_demand"),
+    "conform_national_demand": with_views("v_national_demand", then=f"SELECT * REPLACE ({rounded('demand_mw', 'demand_mw')}) FROM v_national_demand"),
     "conform_fuelmix": with_views("v_fuelmix", then="SELECT * FROM v_fuelmix"),
     "conform_frequency": with_views(
         "v_frequency",
-        then="""SELECT timestamp, round(frequency_hz, 6) AS frequency_hz, region, ingestion_timestamp
+        then=f"""SELECT timestamp, {rounded("frequency_hz", "frequency_hz")}, region, ingestion_timestamp
           FROM v_frequency""",
     ),
     "conform_weather": with_views(
         "v_weather",
         then=f"""SELECT state, timestamp, {WEATHER_ROUNDED},
-          round(wind_direction, 6) AS wind_direction, ingestion_timestamp FROM v_weather""",
+          {rounded("wind_direction", "wind_direction")}, ingestion_timestamp FROM v_weather""",
     ),
     "conform_psp": with_views(
         "v_psp",
@@ -291,7 +295,8 @@ ORACLES: dict[str, str] = {
     ),
     "incremental_filtered": with_views(
         "v_demand",
-        then=f"""SELECT lower(trim(state)) AS state_key, timestamp, demand_mw, source_type FROM v_demand
+        then=f"""SELECT lower(trim(state)) AS state_key, timestamp,
+            {rounded("demand_mw", "demand_mw")}, source_type FROM v_demand
           WHERE source_type = 'official' AND demand_mw > 10 AND CAST(timestamp AS DATE) >=
           (SELECT max(CAST(timestamp AS DATE)) - 2 FROM v_demand WHERE timestamp < {HISTORY})""",
     ),
@@ -340,17 +345,17 @@ ORACLES: dict[str, str] = {
         then=f"SELECT date, {FREQUENCY_COLUMNS}, frequency_observations FROM ({FREQUENCY_DAILY})",
     ),
     "fuel_daily": with_views(
-        "v_fuelmix", then=f"SELECT date, fuel, round(avg_mw, 6) AS avg_mw FROM ({FUEL_DAILY})"
+        "v_fuelmix", then=f"SELECT date, fuel, {rounded("avg_mw", "avg_mw")} FROM ({FUEL_DAILY})"
     ),
     "fuel_total": with_views(
         "v_fuelmix",
-        then=f"SELECT date, round(sum(avg_mw), 6) AS total_generation_mw FROM ({FUEL_DAILY}) GROUP BY date",
+        then=f"SELECT date, {rounded("sum(avg_mw)", "total_generation_mw")} FROM ({FUEL_DAILY}) GROUP BY date",
     ),
     "fuel_pivot": with_views("v_fuelmix", then=f"SELECT date, {FUEL_ROUNDED} FROM ({MIX})"),
     "fuel_share": with_views("v_fuelmix", then=f"SELECT date, {SHARES} FROM ({MIX})"),
     "frequency_deviation": with_views(
         "v_frequency",
-        then=f"""SELECT date, round(abs(avg_frequency_hz - 50), 6) AS frequency_deviation_hz
+        then=f"""SELECT date, {rounded("abs(avg_frequency_hz - 50)", "frequency_deviation_hz")}
           FROM ({FREQUENCY_DAILY})""",
     ),
     "demand_hourly": with_views(
@@ -362,7 +367,7 @@ ORACLES: dict[str, str] = {
     "normalized_key_join": with_views(
         "v_demand",
         "v_weather",
-        then=f"""SELECT state_key, hour, demand_observations, round(temperature, 6) AS temperature
+        then=f"""SELECT state_key, hour, demand_observations, {rounded("temperature", "temperature")}
           FROM ({DEMAND_HOURLY}) JOIN ({WEATHER_HOURLY}) USING (state_key, hour)""",
     ),
     "adequacy_first_url": with_views(
@@ -376,7 +381,7 @@ ORACLES: dict[str, str] = {
         "v_fuelmix",
         "v_frequency",
         then=f"""SELECT d.*, {FREQUENCY_COLUMNS}, frequency_observations, m.* EXCLUDE (date),
-            round(abs(avg_frequency_hz - 50), 6) AS frequency_deviation_hz,
+            {rounded("abs(avg_frequency_hz - 50)", "frequency_deviation_hz")},
             {NEWEST_OF_THREE} AS ingestion_timestamp
           FROM ({DEMAND_DAILY}) d LEFT JOIN ({FREQUENCY_DAILY}) f USING (date)
           LEFT JOIN (SELECT date, {SHARES} FROM ({MIX})) m USING (date)
@@ -385,13 +390,10 @@ ORACLES: dict[str, str] = {
     "adequacy_mart": with_views(
         "v_psp",
         then=f"""SELECT date, region, state, {", ".join(rounded(m, m) for m in ADEQUACY)}, source_url,
-            round(peak_demand_mw - peak_demand_met_mw, 6) AS peak_demand_gap_mw,
-            round(CASE WHEN peak_demand_mw > 0 THEN peak_demand_met_mw / peak_demand_mw * 100 END, 6)
-              AS demand_met_pct,
-            round(CASE WHEN energy_met_mu + energy_shortage_mu > 0
-              THEN energy_shortage_mu / (energy_met_mu + energy_shortage_mu) * 100 END, 6)
-              AS energy_shortage_pct,
-            round(frequency_max_hz - frequency_min_hz, 6) AS frequency_range_hz,
+            {rounded("peak_demand_mw - peak_demand_met_mw", "peak_demand_gap_mw")},
+            {rounded("CASE WHEN peak_demand_mw > 0 THEN peak_demand_met_mw / peak_demand_mw * 100 END", "demand_met_pct")},
+            {rounded("CASE WHEN energy_met_mu + energy_shortage_mu > 0 THEN energy_shortage_mu / (energy_met_mu + energy_shortage_mu) * 100 END", "energy_shortage_pct")},
+            {rounded("frequency_max_hz - frequency_min_hz", "frequency_range_hz")},
             {newest("v_psp")} AS ingestion_timestamp
           FROM ({ADEQUACY_DAILY})""",
     ),
@@ -399,7 +401,7 @@ ORACLES: dict[str, str] = {
         "v_demand",
         "v_weather",
         then=f"""SELECT state_key, hour, {DEMAND_ROUNDED}, {WEATHER_ROUNDED},
-            round(apparent_temperature - temperature, 6) AS apparent_temperature_delta_c,
+            {rounded("apparent_temperature - temperature", "apparent_temperature_delta_c")},
             greatest({newest("v_demand", "source_type = 'official'")}, {newest("v_weather")})
               AS ingestion_timestamp
           FROM ({OFFICIAL_HOURLY}) JOIN ({WEATHER_HOURLY}) USING (state_key, hour)""",
@@ -416,7 +418,7 @@ ORACLES: dict[str, str] = {
 def _summary(mart: str, day: str, relation: str) -> str:
     measure = SUMMARY[mart]
     return f"""SELECT '{mart}' AS mart, CAST({day} AS DATE) AS day, count(*) AS n_rows,
-      round(min({measure}), 6) AS smallest, round(max({measure}), 6) AS largest
+      {rounded(f"min({measure})", "smallest")}, {rounded(f"max({measure})", "largest")}
       FROM ({relation}) GROUP BY CAST({day} AS DATE)"""
 
 

@@ -59,11 +59,15 @@ def event_day():
 
 
 def present(rows: DataFrame) -> DataFrame:
-    """Doubles rounded and times zone-free, as the SQL side has them."""
+    """Doubles rounded and times zone-free, as the SQL side has them.
+
+    Averages differ in their last bits with the order of summing. They are rounded to multiples of
+    2^-16, where, unlike in decimal places, an average of two-decimal values is never half way.
+    """
 
     def column(f: T.StructField):
         if isinstance(f.dataType, T.DoubleType):
-            return F.round(f.name, 6).alias(f.name)
+            return (F.round(F.col(f.name) * 65536.0) / 65536.0).alias(f.name)
         if isinstance(f.dataType, T.TimestampType):
             return F.col(f.name).cast("timestamp_ntz").alias(f.name)
         return F.col(f.name)

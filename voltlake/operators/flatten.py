@@ -22,24 +22,41 @@ def carry_metadata(bronze: DataFrame) -> list[Column]:
     return source + [F.col(name) for name in METADATA if name in bronze.columns]
 
 
-def record_list(raw: Column, record: T.StructType, shape: str) -> Column:
-    """Records of a payload as one array, for a declared ``shape`` (see :class:`Feed`)."""
+def parsed(raw: Column, record: T.StructType, shape: str) -> dict[str, Column]:
+    """Columns holding a payload parsed as one of the forms its ``shape`` allows, else null.
+
+    The ``any`` shape reads a payload as a list or as an object after its first character, and the
+    object with room for each list it may hold. They are columns of their own so that
+    :func:`record_list` can refer to them more than once without parsing again.
+    """
     if shape == "array":
-        return F.from_json(raw, T.ArrayType(record))
+        return {"_list": F.from_json(raw, T.ArrayType(record))}
     if shape in LISTS:
-        return F.from_json(raw, T.StructType().add(shape, T.ArrayType(record)))[shape]
+        return {"_object": F.from_json(raw, T.StructType().add(shape, T.ArrayType(record)))}
     if shape == "object":
-        return F.array(F.from_json(raw, record))
-    if shape == "any":
-        holder = T.StructType(list(record.fields))
-        for name in LISTS:
-            holder = holder.add(name, T.ArrayType(record))
-        whole = F.from_json(raw, holder)
-        itself = F.struct(*[whole[name].alias(name) for name in record.names])
-        return F.when(
-            F.ltrim(raw).startswith("["), F.from_json(raw, T.ArrayType(record))
-        ).otherwise(F.coalesce(whole["items"], whole["data"], F.array(itself)))
-    raise ValueError(f"Unsupported payload shape: {shape}")
+        return {"_object": F.from_json(raw, record)}
+    if shape != "any":
+        raise ValueError(f"Unsupported payload shape: {shape}")
+    is_list = F.ltrim(raw).startswith("[")
+    holder = T.StructType(list(record.fields))
+    for name in LISTS:
+        holder = holder.add(name, T.ArrayType(record))
+    return {
+        "_list": F.when(is_list, F.from_json(raw, T.ArrayType(record))),
+        "_object": F.when(~is_list, F.from_json(raw, holder)),
+    }
+
+
+def record_list(record: T.StructType, shape: str) -> Column:
+    """Records of a payload parsed by :func:`parsed`, as one array."""
+    itself = F.array(F.struct(*[F.col(f"_object.{name}").alias(name) for name in record.names]))
+    if shape == "array":
+        return F.col("_list")
+    if shape in LISTS:
+        return F.col(f"_object.{shape}")
+    if shape == "object":
+        return itself
+    return F.coalesce("_list", *[f"_object.{name}" for name in LISTS], itself)
 
 
 def flatten(bronze: DataFrame, feed: Feed) -> DataFrame:
@@ -49,18 +66,22 @@ def flatten(bronze: DataFrame, feed: Feed) -> DataFrame:
     and :func:`unreadable` reports it.
     """
     _require_payload(bronze)
-    records = bronze.select(
+    payloads = bronze.select(
         *carry_metadata(bronze),
-        F.explode_outer(record_list(F.col("raw_response"), feed.record_type, feed.shape)).alias("_record"),
+        *[
+            column.alias(name)
+            for name, column in parsed(F.col("raw_response"), feed.record_type, feed.shape).items()
+        ],
+    )
+    names = [c for c in payloads.columns if c not in ("_list", "_object")]
+    records = payloads.select(
+        *names, F.explode_outer(record_list(feed.record_type, feed.shape)).alias("_record")
     )
-    metadata = [c for c in records.columns if c != "_record"]
     if feed.nested is None:
-        return records.select(*metadata, "_record.*")
+        return records.select(*names, "_record.*")
     outer = [F.col(f"_record.{name}").alias(name) for name in feed.outer_fields]
-    points = records.select(
-        *metadata, *outer, F.explode_outer(f"_record.{feed.nested}").alias("_point")
-    )
-    return points.select(*metadata, *feed.outer_fields, "_point.*")
+    points = records.select(*names, *outer, F.explode_outer(f"_record.{feed.nested}").alias("_point"))
+    return points.select(*names, *feed.outer_fields, "_point.*")
 
 
 def unreadable(bronze: DataFrame) -> DataFrame:
