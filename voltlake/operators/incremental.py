@@ -48,16 +48,18 @@ def rolling_window(
     days: int = LOOKBACK_DAYS,
     period: str | None = None,
     grain: str = "day",
+    margin: int = 0,
 ) -> DataFrame:
     """Whole event days from ``days`` before the last day in ``gold``; everything if it has none.
 
-    ``period`` names the partition column of ``silver`` if that is the ``grain`` of the event time.
+    ``period`` names the partition column of ``silver`` if that is the ``grain`` of the event time,
+    ``margin`` the days by which ``day`` may run ahead of it, as local days do.
     """
     if gold is None:
         return silver
     since = F.coalesce(F.date_sub(gold.agg(F.max(gold_day)).scalar(), days), first_day())
     if period is not None:
-        silver = silver.where(F.col(period) >= period_of(since, grain))
+        silver = silver.where(F.col(period) >= period_of(F.date_sub(since, margin), grain))
     return silver.where(_column(day) >= since)
 
 
