@@ -9,6 +9,8 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from voltlake.sources.files import delete
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor reaches: ``spark.checkpoint.dir``.
@@ -42,5 +44,4 @@ def staged(rows: DataFrame) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(rows.schema).parquet(folder)
     finally:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        delete(spark, folder)
