@@ -20,7 +20,7 @@ from voltlake.operators.flatten import flatten, payload_fields
 from voltlake.operators.incremental import newer_than, rolling_window
 from voltlake.operators.upsert import upsert
 from voltlake.plans import marts
-from voltlake.plans.layers import MARTS, bronze_path, gold_path, refresh_layers
+from voltlake.plans.layers import MARTS, bronze_path, gold_path, refresh_layers, together
 from voltlake.plans.silver import observations, silver_batch
 from voltlake.session import pin_utc
 from voltlake.sources import feeds
@@ -530,13 +530,17 @@ def arrivals(spark, sf_dir, first):
 def layers_end_to_end(spark, sf_dir):
     """Two daily runs over all six feeds and four marts; the rows of every mart by day."""
     root = new_folder(spark, "layers")
+
+    def arrive(arrival):
+        feed, rows = arrival
+        path = bronze_path(root, feed)
+        if landing_key(feed) == landing.WINDOW_KEY:
+            append_bronze(rows, path, feed)
+        else:
+            land(spark, rows, path, feed)
+
     for first in (True, False):
-        for feed, rows in arrivals(spark, sf_dir, first):
-            path = bronze_path(root, feed)
-            if landing_key(feed) == landing.WINDOW_KEY:
-                append_bronze(rows, path, feed)
-            else:
-                land(spark, rows, path, feed)
+        together(spark, arrive, arrivals(spark, sf_dir, first))
         refresh_layers(spark, root)
     summaries = []
     for mart in MARTS:

@@ -1,0 +1,155 @@
+import json
+from dataclasses import replace
+from datetime import datetime
+
+import pytest
+
+from voltlake.operators.conform import conform, stamp_processed
+from voltlake.operators.flatten import (
+    flatten,
+    flatten_inferred,
+    infer_payload_type,
+    payload_fields,
+    unreadable,
+)
+from voltlake.sources.feeds import FREQUENCY, FUEL_MIX, NATIONAL_DEMAND, PSP, STATE_DEMAND
+
+AT = datetime(2024, 1, 2)
+R1 = {"timestamp": "2024-01-01T00:00:00Z", "frequency_hz": 50, "region": "North"}
+R2 = {"timestamp": "2024-01-01T00:04:00Z", "frequency_hz": 49.95, "region": None}
+
+
+def bronze(spark, *payloads):
+    texts = [p if p is None or isinstance(p, str) else json.dumps(p) for p in payloads]
+    return spark.createDataFrame(
+        [("api", "d", AT, t) for t in texts],
+        "source string, dataset string, ingestion_timestamp timestamp, raw_response string",
+    )
+
+
+FLAT = [("2024-01-01T00:00:00Z", "50", "North"), ("2024-01-01T00:04:00Z", "49.95", None)]
+
+
+@pytest.mark.parametrize("payload", [[R1, R2], {"items": [R1, R2]}, {"data": [R1, R2]}])
+def test_list_shapes_give_the_same_rows(spark, rows, payload):
+    out = flatten(bronze(spark, payload), FREQUENCY)
+    assert rows(out, "timestamp", "frequency_hz", "region") == FLAT
+
+
+def test_shapes_may_differ_between_payloads(spark, rows):
+    out = flatten(bronze(spark, [R1], {"data": [R2]}, R1, {"items": [R2]}), FREQUENCY)
+    assert rows(out, "timestamp", "frequency_hz", "region") == sorted(FLAT * 2, key=repr)
+
+
+@pytest.mark.parametrize("shape, payload", [("array", [R1]), ("items", {"items": [R1]}), ("object", R1)])
+def test_declared_shape(spark, rows, shape, payload):
+    out = flatten(bronze(spark, payload), replace(FREQUENCY, shape=shape))
+    assert rows(out, "timestamp", "frequency_hz", "region") == FLAT[:1]
+
+
+def test_items_win_over_data(spark, rows):
+    out = flatten(bronze(spark, {"items": [R1], "data": [R2]}), FREQUENCY)
+    assert rows(out, "timestamp", "frequency_hz", "region") == FLAT[:1]
+
+
+@pytest.mark.parametrize("payload", [None, "not json", "[]", '{"items": []}', '{"data": null}', "{}"])
+def test_no_observation_is_one_null_row(spark, rows, payload):
+    out = flatten(bronze(spark, payload), FREQUENCY)
+    assert rows(out, "timestamp", "frequency_hz", "region") == [(None, None, None)]
+    assert conform(out, FREQUENCY).isEmpty()
+
+
+def test_nested_points_take_the_state_of_their_payload(spark, rows):
+    point = {"timestamp": "2024-01-01T00:00:00Z", "demand_mw": 1.5, "source": "s"}
+    payload = {"state": "Goa", "points": [point, {**point, "demand_mw": "2"}]}
+    for form in (payload, [payload], {"items": [payload]}):
+        out = flatten(bronze(spark, form), STATE_DEMAND)
+        assert rows(out, "state", "demand_mw", "source") == [("Goa", "1.5", "s"), ("Goa", "2", "s")]
+
+
+@pytest.mark.parametrize("points", ["[]", "null"])
+def test_payload_without_points(spark, points):
+    out = flatten(bronze(spark, f'{{"state": "Goa", "points": {points}}}'), STATE_DEMAND)
+    assert [(r.state, r.timestamp) for r in out.collect()] == [("Goa", None)]
+
+
+def test_metadata_is_carried_without_the_bronze_state(spark):
+    rows = bronze(spark, [R1]).selectExpr("*", "'Goa' AS state", "CAST(48 AS BIGINT) AS hours")
+    out = flatten(rows, FREQUENCY)
+    assert out.columns == ["bronze_source", "dataset", "hours", "ingestion_timestamp"] + [
+        "timestamp",
+        "frequency_hz",
+        "region",
+    ]
+
+
+def test_mixed_types_and_late_fields_survive(spark, rows):
+    points = [
+        {"ts_utc": "2024-01-01T00:00:00Z", "demand_mw": 7},
+        {"ts_utc": "2024-01-01T00:01:00Z", "demand_mw": 7.25, "source": "late"},
+        {"ts_utc": "2024-01-01T00:02:00Z", "demand_mw": "8.5", "is_provisional": "true"},
+    ]
+    out = conform(flatten(bronze(spark, {"points": points}), NATIONAL_DEMAND), NATIONAL_DEMAND)
+    assert rows(out, "demand_mw", "source", "is_provisional") == [
+        (7.0, None, None),
+        (7.25, "late", None),
+        (8.5, None, True),
+    ]
+
+
+def test_offsets_become_utc_and_bad_times_drop(spark, rows):
+    records = [{**R1, "timestamp": t} for t in ("2024-01-01T05:30:00+05:30", "31/12/2024", "", None)]
+    out = conform(flatten(bronze(spark, records), FREQUENCY), FREQUENCY)
+    assert rows(out, "timestamp") == [(datetime(2024, 1, 1),)]
+
+
+def test_bad_measure_is_null_and_drops_only_if_required(spark, rows):
+    items = [{"date": "2024-01-01", "peak_demand_mw": "many"}, {"date": "soon", "peak_demand_mw": 1}]
+    out = conform(flatten(bronze(spark, {"items": items}), PSP), PSP)
+    assert [(str(d), p) for d, p in rows(out, "date", "peak_demand_mw")] == [("2024-01-01", None)]
+    fuel = {"points": [{"ts_utc": "2024-01-01", "fuel": "gas", "mw": "many"}]}
+    assert conform(flatten(bronze(spark, fuel), FUEL_MIX), FUEL_MIX).isEmpty()
+
+
+def test_empty_batch_has_the_silver_schema(spark):
+    empty = bronze(spark, {"points": []}).limit(0)
+    out = stamp_processed(conform(flatten(empty, STATE_DEMAND), STATE_DEMAND))
+    wanted = [(f.name, f.dataType) for f in STATE_DEMAND.silver_schema]
+    assert [(f.name, f.dataType) for f in out.schema] == wanted
+    assert out.isEmpty()
+
+
+def test_payloads_that_are_not_json_are_reported(spark):
+    out = unreadable(bronze(spark, [R1], "not json", "[1,", None))
+    assert sorted(r.raw_response for r in out.collect()) == ["[1,", "not json"]
+
+
+def test_errors(spark):
+    with pytest.raises(ValueError, match="raw_response"):
+        flatten(spark.range(1), FREQUENCY)
+    with pytest.raises(ValueError, match="shape"):
+        flatten(bronze(spark, [R1]), replace(FREQUENCY, shape="table"))
+    with pytest.raises(ValueError, match="payload type"):
+        flatten_inferred(bronze(spark, "1"))
+
+
+def test_fields_are_merged_over_all_payloads(spark, rows):
+    found = dict(rows(payload_fields(bronze(spark, {"a": 1}, {"a": 1.5, "b": "x"}, None))))
+    assert found["a"].startswith("DECIMAL") and found["b"] == "STRING"
+    listed = bronze(spark, {"items": [{"a": 1}, {"c": True}]}, {"items": []}, {"other": 1})
+    assert rows(payload_fields(listed, "items")) == [("a", "BIGINT"), ("c", "BOOLEAN")]
+
+
+@pytest.mark.parametrize("payload", [[R1, R2], {"items": [R1, R2]}, {"data": [R1, R2]}])
+def test_undeclared_feed(spark, rows, payload):
+    out = flatten_inferred(bronze(spark, payload))
+    assert rows(out.selectExpr("timestamp", "CAST(frequency_hz AS DOUBLE)", "region")) == [
+        ("2024-01-01T00:00:00Z", 50.0, "North"),
+        ("2024-01-01T00:04:00Z", 49.95, None),
+    ]
+
+
+def test_undeclared_object(spark):
+    out = flatten_inferred(bronze(spark, {"a": 1}, {"a": 2.5, "b": {"c": "x"}}))
+    assert sorted((float(r.a), r.b and r.b.c) for r in out.collect()) == [(1.0, None), (2.5, "x")]
+    assert "STRUCT" in infer_payload_type(bronze(spark, {"b": {"c": 1}})).simpleString().upper()
