@@ -227,6 +227,12 @@ ORACLES: dict[str, str] = {
     ),
     "flatten_array": frequency_records(),
     "flatten_data": frequency_records(),
+    "flatten_undeclared": frequency_records(),
+    "unreadable_payloads": with_views(
+        "v_frequency",
+        then="""SELECT 'grid_frequency' AS dataset, ingestion_timestamp, '{"data": [' AS raw_response
+          FROM v_frequency WHERE region IS NULL""",
+    ),
     "flatten_object": frequency_records("v_frequency", iso("timestamp")),
     "flatten_items": with_views(
         "v_psp",
@@ -406,6 +412,13 @@ ORACLES: dict[str, str] = {
               AS ingestion_timestamp
           FROM ({OFFICIAL_HOURLY}) JOIN ({WEATHER_HOURLY}) USING (state_key, hour)""",
     ),
+    "state_demand_local_days": with_views(
+        "v_demand",
+        then=state_daily(
+            "(SELECT * REPLACE (timestamp + INTERVAL 330 MINUTE AS timestamp) FROM v_demand)",
+            stamp=newest("v_demand"),
+        ),
+    ),
     "silver_chain": with_views(
         "v_batches",
         then=f"SELECT {DEMAND_COLUMNS} FROM "
@@ -415,6 +428,9 @@ ORACLES: dict[str, str] = {
 }
 
 
+ORACLES["silver_stream"] = ORACLES["silver_chain"]
+
+
 def _summary(mart: str, day: str, relation: str) -> str:
     measure = SUMMARY[mart]
     return f"""SELECT '{mart}' AS mart, CAST({day} AS DATE) AS day, count(*) AS n_rows,

@@ -16,7 +16,7 @@ from voltlake.functions import normalized_key
 from voltlake.operators import derived, incremental, landing, rollups
 from voltlake.operators.conform import conform
 from voltlake.operators.dedupe import one_per_key
-from voltlake.operators.flatten import flatten, payload_fields
+from voltlake.operators.flatten import flatten, flatten_inferred, payload_fields, unreadable
 from voltlake.operators.incremental import newer_than, rolling_window
 from voltlake.operators.upsert import upsert
 from voltlake.plans import marts
@@ -26,7 +26,8 @@ from voltlake.session import pin_utc
 from voltlake.sources import feeds
 from voltlake.sources.bronze import append_bronze, land, landing_key, scan_bronze
 from voltlake.sources.staging import new_folder
-from voltlake.sources.tables import Table, merge_into, read_table
+from voltlake.sources.tables import PERIOD, Table, merge_into, read_table
+from voltlake.streaming.silver import follow_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -244,6 +245,27 @@ def flatten_outer_nulls(spark, sf_dir):
     return flatten(rows, feeds.FREQUENCY).select("ingestion_timestamp", "timestamp", "region")
 
 
+@query
+def flatten_undeclared(spark, sf_dir):
+    """The same payloads as ``flatten_data``, with the type found in them instead of a declared one."""
+    rows = bronze(view(spark, sf_dir, "v_frequency"), feeds.FREQUENCY, "data")
+    return flatten_inferred(rows).select(
+        "dataset",
+        "ingestion_timestamp",
+        "timestamp",
+        F.col("frequency_hz").cast("double").alias("frequency_hz"),
+        "region",
+    )
+
+
+@query
+def unreadable_payloads(spark, sf_dir):
+    """The payloads of the unnamed region break off."""
+    text = F.when(F.col("region").isNull(), '{"data": [').otherwise(payload(feeds.FREQUENCY, "data"))
+    rows = bronze(view(spark, sf_dir, "v_frequency"), feeds.FREQUENCY, text=text)
+    return unreadable(rows).select("dataset", "ingestion_timestamp", "raw_response")
+
+
 @query
 def flatten_metadata(spark, sf_dir):
     records = flatten(bronze(view(spark, sf_dir, "v_demand"), feeds.STATE_DEMAND), feeds.STATE_DEMAND)
@@ -469,6 +491,11 @@ def state_demand_mart(spark, sf_dir):
     return marts.state_demand_mart(view(spark, sf_dir, "v_demand"))
 
 
+@query
+def state_demand_local_days(spark, sf_dir):
+    return marts.state_demand_mart(view(spark, sf_dir, "v_demand"), tz="Asia/Kolkata")
+
+
 @query
 def national_grid_mart(spark, sf_dir):
     return marts.national_grid_mart(
@@ -498,6 +525,17 @@ def silver_chain(spark, sf_dir):
     return upsert(silver, batch, feeds.STATE_DEMAND.keys)
 
 
+@query
+def silver_stream(spark, sf_dir):
+    """Both batches land one after the other, each followed by a run of the stream."""
+    source, target, checkpoint = (new_folder(spark, n) for n in ("bronze", "silver", "progress"))
+    rows, feed = view(spark, sf_dir, "v_batches"), feeds.STATE_DEMAND
+    for batch in (0, 1):
+        append_bronze(bronze(rows.where(F.col("batch") == batch), feed), source, feed)
+        follow_bronze(spark, source, target, feed, checkpoint).awaitTermination()
+    return read_table(spark, target).drop("processed_timestamp", PERIOD)
+
+
 def arrivals(spark, sf_dir, first):
     """(feed, payload rows) of the first run, and of the second, which offers everything again.
 

@@ -107,6 +107,21 @@ def test_ingest_times_keep_their_microseconds_and_type(spark, tmp_path):
     assert dict(out.dtypes)["ingestion_timestamp"] == "timestamp"
 
 
+def test_bronze_landed_without_partitions_stays_readable(spark, tmp_path):
+    path, later = str(tmp_path / "bronze"), datetime(2024, 1, 9)
+    old = windowed(spark, FREQUENCY).withColumn(
+        "ingestion_timestamp", F.lit("2024-01-03T04:05:06.123Z")
+    )
+    old.write.mode("append").json(path)
+    land(spark, windowed(spark, FREQUENCY), path, FREQUENCY)
+    land(spark, windowed(spark, FREQUENCY, later), path, FREQUENCY)
+    out = scan_bronze(spark, path, FREQUENCY)
+    assert sorted(r.ingestion_timestamp for r in out.collect()) == [
+        datetime(2024, 1, 3, 4, 5, 6, 123000),
+        later,
+    ]
+
+
 def test_worklist(spark, rows):
     landed = windowed(spark, WEATHER, states=("Goa", "Goa", "Delhi"))
     window = ("2024-01-01T04:05:06.123456Z", "2024-01-03T04:05:06.123456Z")

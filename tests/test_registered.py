@@ -9,7 +9,7 @@ from checks.compare import connect, difference
 from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-WRITES = {"bronze_scan", "upsert_bootstrap", "upsert_merge", "layers_end_to_end"}
+WRITES = {"bronze_scan", "upsert_bootstrap", "upsert_merge", "silver_stream", "layers_end_to_end"}
 
 
 @pytest.fixture(scope="module")

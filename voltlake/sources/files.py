@@ -15,6 +15,19 @@ def exists(spark: SparkSession, location: str) -> bool:
     return files.exists(path)
 
 
+def holds_files(spark: SparkSession, location: str) -> bool:
+    """Whether data files lie in the folder itself rather than in partition folders."""
+    files, path = _resolve(spark, location)
+    if not files.exists(path):
+        return False
+    entries = files.listStatusIterator(path)
+    while entries.hasNext():
+        entry = entries.next()
+        if entry.isFile() and not entry.getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
 def delete(spark: SparkSession, location: str) -> None:
     """Delete a folder and what is in it."""
     files, path = _resolve(spark, location)
