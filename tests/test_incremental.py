@@ -65,9 +65,15 @@ def test_lookback_takes_whole_days(spark, silver):
 
 def test_late_rows_bring_their_whole_day(spark, silver):
     """Row 4 came late for a day far behind the lookback: the day is recomputed from all its rows."""
-    gold = spark.createDataFrame([(date(2024, 1, 6), at(7))], "date date, ingestion_timestamp timestamp")
+    gold = spark.createDataFrame(
+        [(date(2024, 1, d), at(7)) for d in (1, 5, 6)], "date date, ingestion_timestamp timestamp"
+    )
     assert ids(rolling_window(silver, gold, F.expr(DAY))) == [2, 3]
     assert ids(touched_days(silver, gold, F.expr(DAY))) == [1, 4]
+    unknown_day = gold.where("date <> '2024-01-05'")
+    assert ids(touched_days(silver, unknown_day, F.expr(DAY))) == [1, 2, 4]
+    stale = gold.withColumn("ingestion_timestamp", F.when(F.col("date") == "2024-01-06", F.lit(at(6))).otherwise(F.lit(at(9))))
+    assert ids(touched_days(silver, stale, F.expr(DAY))) == [3]
     assert ids(touched_days(silver, None, F.expr(DAY))) == [1, 2, 3, 4]
 
 

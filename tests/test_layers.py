@@ -1,7 +1,7 @@
 """Whole refreshes: incremental equals full, late rows, local days, and the streaming form."""
 
 from dataclasses import replace
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from voltlake.plans.layers import (
 from voltlake.plans.silver import observations
 from voltlake.sources import feeds
 from voltlake.sources.bronze import append_bronze
-from voltlake.sources.tables import read_table
+from voltlake.sources.tables import read_table, write_periods
 from voltlake.streaming.silver import follow_bronze
 
 SF = "/root/testdata/sf0.001"
@@ -94,6 +94,42 @@ def test_late_rows_need_the_late_refresh(spark, tmp_path):
     assert peak() == 7777.0
 
 
+def test_a_refresh_of_other_days_does_not_hide_a_late_row(spark, tmp_path):
+    """Rolling refreshes move the table's newest ingest time past the late row; its day is still found."""
+    root = str(tmp_path)
+    path = bronze_path(root, feeds.STATE_DEMAND)
+    rows = view(spark, SF, "v_demand")
+
+    def arrive(part, mw, at):
+        part = part.withColumns({"demand_mw": F.lit(mw), "ingestion_timestamp": F.lit(at)})
+        append_bronze(bronze(part, feeds.STATE_DEMAND), path, feeds.STATE_DEMAND)
+        refresh_layers(spark, root, [feeds.STATE_DEMAND], [DEMAND_MART])
+
+    arrive(rows, 1.0, datetime(2024, 2, 1))
+    arrive(rows.where("timestamp < '2024-01-02'"), 7777.0, datetime(2024, 3, 1))
+    arrive(rows.where("timestamp > '2024-01-29'"), 2.0, datetime(2024, 3, 2))
+    gold = read_table(spark, gold_path(root, DEMAND_MART))
+    assert gold.agg(F.max("peak_demand_mw")).first()[0] == 2.0
+    refresh_gold(spark, root, DEMAND_MART, late=True)
+    gold = read_table(spark, gold_path(root, DEMAND_MART))
+    assert {r[0] for r in gold.where("peak_demand_mw = 7777").select("date").distinct().collect()} == {
+        date(2024, 1, 1)
+    }
+
+
+def test_a_full_refresh_repairs_what_a_merge_lost(spark, tmp_path):
+    root = str(tmp_path)
+    refresh_in_steps(spark, root, [])
+    silver, gold = silver_path(root, feeds.STATE_DEMAND), gold_path(root, DEMAND_MART)
+    before = table_rows(spark, silver), table_rows(spark, gold)
+    lost = read_table(spark, silver).where("state <> 'NATION_3'")
+    write_periods(lost, f"{root}/cut_off")
+    write_periods(spark.read.parquet(f"{root}/cut_off"), silver)
+    assert table_rows(spark, silver) != before[0]
+    refresh_layers(spark, root, [feeds.STATE_DEMAND], [DEMAND_MART], full=True)
+    assert (table_rows(spark, silver), table_rows(spark, gold)) == before
+
+
 def test_marts_wait_for_their_inputs(spark, tmp_path):
     assert [refresh_gold(spark, str(tmp_path), mart) for mart in MARTS] == [False] * 4
 

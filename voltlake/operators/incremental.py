@@ -63,12 +63,30 @@ def rolling_window(
     return silver.where(_column(day) >= since)
 
 
-def touched_days(silver: DataFrame, gold: DataFrame | None, day: Column | str) -> DataFrame:
-    """Whole event days holding any row ingested after ``gold`` was built, however old the day."""
+def changed_days(
+    silver: DataFrame, gold: DataFrame, day: Column | str, gold_day: Column | str = "date"
+) -> DataFrame:
+    """Event days (``_day``) that ``gold`` lacks or computed before their newest Silver row came in.
+
+    Each day is held against its own Gold rows: a refresh of other days, which moves the newest ingest
+    time of the table, does not hide a row that came in late for this one.
+    """
+    newest = silver.groupBy(_column(day).alias("_day")).agg(F.max(INGESTED).alias("_newest"))
+    done = gold.groupBy(_column(gold_day).alias("_day")).agg(F.min(INGESTED).alias("_done"))
+    late = F.col("_done").isNull() | (F.col("_newest") > F.col("_done"))
+    return newest.join(done, "_day", "left").where(late).select("_day")
+
+
+def touched_days(
+    silver: DataFrame,
+    gold: DataFrame | None,
+    day: Column | str,
+    gold_day: Column | str = "date",
+) -> DataFrame:
+    """All rows of the days with late or corrected rows, however old the day."""
     if gold is None:
         return silver
-    arrived = newer_than(silver, gold).select(_column(day).alias("_touched"))
-    return on_dates_of(silver, day, arrived, "_touched")
+    return on_dates_of(silver, day, changed_days(silver, gold, day, gold_day), "_day")
 
 
 def on_dates_of(

@@ -16,13 +16,35 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "voltlake", **conf: str) -> SparkSession:
-    """Session with :data:`SETTINGS`; the master and cluster sizing stay with the launcher.
+MIB = 2**20
 
-    ``conf`` keys use ``__`` for ``.``: ``build_session(spark__sql__shuffle__partitions="8")``.
+
+def sized_for(data_bytes: int) -> dict[str, str]:
+    """Settings for the data a run shuffles at most.
+
+    AQE merges shuffle partitions that turn out small but makes no further ones, so a run has to start
+    with enough of them: half a GiB each, up to the 100,000 a driver tracks comfortably, beyond which
+    they grow and spill. Scan splits grow with the data so that tasks stay well above start-up cost.
+    """
+    partitions = min(max(data_bytes // (512 * MIB), 200), 100_000)
+    split = 128 * MIB if data_bytes < 2**40 else 256 * MIB
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),
+    }
+
+
+def build_session(
+    app: str = "voltlake", data_bytes: int | None = None, conf: dict[str, str] | None = None
+) -> SparkSession:
+    """Session with :data:`SETTINGS`, sized for ``data_bytes`` if given; ``conf`` has the last word.
+
+    The master and the executors stay with the launcher.
     """
+    sizing = {} if data_bytes is None else sized_for(data_bytes)
     builder = SparkSession.builder.appName(app)
-    for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
+    for key, value in {**SETTINGS, **sizing, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
