@@ -2,6 +2,7 @@
 
 from dataclasses import replace
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from voltlake.plans.layers import (
 from voltlake.plans.silver import observations
 from voltlake.sources import feeds
 from voltlake.sources.bronze import append_bronze
-from voltlake.sources.tables import read_table, write_periods
+from voltlake.sources.tables import read_table, unfinished, write_periods
 from voltlake.streaming.silver import follow_bronze
 
 SF = "/root/testdata/sf0.001"
@@ -52,7 +53,10 @@ def refresh_in_steps(spark, root, cuts, **options):
 CUTS = [datetime(2024, 1, 10), datetime(2024, 1, 11), datetime(2024, 1, 20)]
 
 
-@pytest.mark.parametrize("options", [{}, {"late": True}, {"tz": "Asia/Kolkata"}, {"tz": "Asia/Kolkata", "late": True}])
+INDIA = {"tz": "Asia/Kolkata"}
+
+
+@pytest.mark.parametrize("options", [{}, {"late": True}, INDIA, {**INDIA, "late": True}])
 def test_refreshing_in_steps_equals_refreshing_once(spark, tmp_path, options):
     steps, once = str(tmp_path / "steps"), str(tmp_path / "once")
     refresh_in_steps(spark, steps, CUTS, **options)
@@ -117,7 +121,9 @@ def test_a_refresh_of_other_days_does_not_hide_a_late_row(spark, tmp_path):
     }
 
 
-def test_a_full_refresh_repairs_what_a_merge_lost(spark, tmp_path):
+@pytest.mark.parametrize("noticed", [True, False])
+def test_a_merge_that_was_cut_off_is_repaired(spark, tmp_path, noticed):
+    """Spark's staging folder gives it away; without one it takes a full refresh."""
     root = str(tmp_path)
     refresh_in_steps(spark, root, [])
     silver, gold = silver_path(root, feeds.STATE_DEMAND), gold_path(root, DEMAND_MART)
@@ -126,8 +132,12 @@ def test_a_full_refresh_repairs_what_a_merge_lost(spark, tmp_path):
     write_periods(lost, f"{root}/cut_off")
     write_periods(spark.read.parquet(f"{root}/cut_off"), silver)
     assert table_rows(spark, silver) != before[0]
-    refresh_layers(spark, root, [feeds.STATE_DEMAND], [DEMAND_MART], full=True)
+    if noticed:
+        for path in (silver, gold):
+            (Path(path) / ".spark-staging-0").mkdir()
+    refresh_layers(spark, root, [feeds.STATE_DEMAND], [DEMAND_MART], full=not noticed)
     assert (table_rows(spark, silver), table_rows(spark, gold)) == before
+    assert not unfinished(spark, silver) and not unfinished(spark, gold)
 
 
 def test_marts_wait_for_their_inputs(spark, tmp_path):

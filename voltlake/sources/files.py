@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import SparkSession
 
 
@@ -15,17 +17,21 @@ def exists(spark: SparkSession, location: str) -> bool:
     return files.exists(path)
 
 
+def entries(spark: SparkSession, location: str) -> Iterator[tuple[str, bool]]:
+    """(name, whether it is a file) of what lies directly in a folder; nothing if it is missing."""
+    files, path = _resolve(spark, location)
+    if files.exists(path):
+        found = files.listStatusIterator(path)
+        while found.hasNext():
+            entry = found.next()
+            yield entry.getPath().getName(), entry.isFile()
+
+
 def holds_files(spark: SparkSession, location: str) -> bool:
     """Whether data files lie in the folder itself rather than in partition folders."""
-    files, path = _resolve(spark, location)
-    if not files.exists(path):
-        return False
-    entries = files.listStatusIterator(path)
-    while entries.hasNext():
-        entry = entries.next()
-        if entry.isFile() and not entry.getPath().getName().startswith(("_", ".")):
-            return True
-    return False
+    return any(
+        is_file and not name.startswith(("_", ".")) for name, is_file in entries(spark, location)
+    )
 
 
 def delete(spark: SparkSession, location: str) -> None:
