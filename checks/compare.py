@@ -67,7 +67,8 @@ def main(argv: list[str]) -> int:
         except Exception as error:  # report and go on to the next query
             n, problem = -1, f"{type(error).__name__}: {str(error)[:1500]}"
         bad += bool(problem)
-        print(f"{'FAIL' if problem else 'ok':4} {name:26} {n:8} rows {time.perf_counter() - start:6.2f}s", problem, flush=True)
+        status, took = "FAIL" if problem else "ok", time.perf_counter() - start
+        print(f"{status:4} {name:26} {n:8} rows {took:6.2f}s", problem, flush=True)
     return bad
 
 

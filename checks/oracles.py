@@ -16,6 +16,10 @@ def iso(time: str) -> str:
     return f"strftime({time}, {ISO})"
 
 
+def rounded_all(*columns: str) -> str:
+    return ", ".join(rounded(c, c) for c in columns)
+
+
 def rounded(expression: str, name: str) -> str:
     """As in ``checks.queries.present``: a multiple of 2^-16."""
     return f"round(({expression}) * 65536) / 65536 AS {name}"
@@ -100,11 +104,9 @@ FUEL_DAILY = """
     SELECT CAST(timestamp AS DATE) AS date, fuel, avg(mw) AS avg_mw
     FROM v_fuelmix GROUP BY CAST(timestamp AS DATE), fuel"""
 
-FREQUENCY_COLUMNS = ", ".join(
-    rounded(c, c) for c in ("avg_frequency_hz", "min_frequency_hz", "max_frequency_hz")
-)
+FREQUENCY_COLUMNS = rounded_all("avg_frequency_hz", "min_frequency_hz", "max_frequency_hz")
 FUEL_COLUMNS = ", ".join(f"max(avg_mw) FILTER (WHERE fuel = '{fuel}') AS {fuel}" for fuel in FUELS)
-FUEL_ROUNDED = ", ".join(rounded(fuel, fuel) for fuel in FUELS)
+FUEL_ROUNDED = rounded_all(*FUELS)
 
 MIX = f"SELECT date, {FUEL_COLUMNS}, sum(avg_mw) AS total FROM ({FUEL_DAILY}) GROUP BY date"
 RENEWABLE = "(coalesce(hydro, 0) + coalesce(solar, 0) + coalesce(wind, 0))"
@@ -132,12 +134,14 @@ HOUR_KEY = "lower(trim(state)) AS state_key, date_trunc('hour', timestamp) AS ho
 DEMAND_MEASURES = """avg(demand_mw) AS avg_demand_mw, max(demand_mw) AS peak_demand_mw,
     min(demand_mw) AS min_demand_mw, count(*) AS demand_observations"""
 WEATHER_AVERAGES = ", ".join(f"avg({m}) AS {m}" for m in WEATHER_MEASURES)
-WEATHER_ROUNDED = ", ".join(rounded(m, m) for m in WEATHER_MEASURES)
+WEATHER_ROUNDED = rounded_all(*WEATHER_MEASURES)
 DEMAND_HOURLY = f"SELECT {HOUR_KEY}, {DEMAND_MEASURES} FROM v_demand GROUP BY ALL"
 OFFICIAL_HOURLY = f"""SELECT {HOUR_KEY}, {DEMAND_MEASURES} FROM v_demand
     WHERE source_type = 'official' GROUP BY ALL"""
 WEATHER_HOURLY = f"SELECT {HOUR_KEY}, {WEATHER_AVERAGES} FROM v_weather GROUP BY ALL"
-DEMAND_ROUNDED = f"{rounded("avg_demand_mw", "avg_demand_mw")}, {rounded("peak_demand_mw", "peak_demand_mw")}, {rounded("min_demand_mw", "min_demand_mw")}, demand_observations"
+DEMAND_ROUNDED = (
+    f"{rounded_all('avg_demand_mw', 'peak_demand_mw', 'min_demand_mw')}, demand_observations"
+)
 
 ADEQUACY = (
     "peak_demand_mw",
@@ -149,6 +153,9 @@ ADEQUACY = (
     "frequency_max_hz",
     "frequency_avg_hz",
 )
+DEMAND_MET = "CASE WHEN peak_demand_mw > 0 THEN peak_demand_met_mw / peak_demand_mw * 100 END"
+ENERGY_SHORTAGE = """CASE WHEN energy_met_mu + energy_shortage_mu > 0
+    THEN energy_shortage_mu / (energy_met_mu + energy_shortage_mu) * 100 END"""
 ADEQUACY_DAILY = f"""SELECT date, region, state, {', '.join(f'max({m}) AS {m}' for m in ADEQUACY)},
     min(source_url) AS source_url FROM v_psp GROUP BY date, region, state"""
 
@@ -239,7 +246,7 @@ ORACLES: dict[str, str] = {
         then=f"""
         SELECT 'posoco_psp' AS dataset, ingestion_timestamp,
           CASE WHEN readable THEN strftime(date, '%Y-%m-%d') ELSE 'n/a' END AS date, region, state,
-          {", ".join(rounded(m, m) for m in ADEQUACY)}, source_url
+          {rounded_all(*ADEQUACY)}, source_url
         FROM v_psp, {TWICE}""",
     ),
     "flatten_points": with_views(
@@ -264,7 +271,10 @@ ORACLES: dict[str, str] = {
           CASE WHEN readable THEN {iso("timestamp")} ELSE 'n/a' END AS timestamp FROM v_demand, {TWICE}""",
     ),
     "conform_state_demand": with_views("v_demand", then=f"SELECT {DEMAND_COLUMNS} FROM v_demand"),
-    "conform_national_demand": with_views("v_national_demand", then=f"SELECT * REPLACE ({rounded('demand_mw', 'demand_mw')}) FROM v_national_demand"),
+    "conform_national_demand": with_views(
+        "v_national_demand",
+        then=f"SELECT * REPLACE ({rounded_all('demand_mw')}) FROM v_national_demand",
+    ),
     "conform_fuelmix": with_views("v_fuelmix", then="SELECT * FROM v_fuelmix"),
     "conform_frequency": with_views(
         "v_frequency",
@@ -278,7 +288,7 @@ ORACLES: dict[str, str] = {
     ),
     "conform_psp": with_views(
         "v_psp",
-        then=f"""SELECT date, region, state, {", ".join(rounded(m, m) for m in ADEQUACY)}, source_url,
+        then=f"""SELECT date, region, state, {rounded_all(*ADEQUACY)}, source_url,
           ingestion_timestamp FROM v_psp""",
     ),
     "dedupe_latest": with_views(
@@ -355,7 +365,8 @@ ORACLES: dict[str, str] = {
     ),
     "fuel_total": with_views(
         "v_fuelmix",
-        then=f"SELECT date, {rounded("sum(avg_mw)", "total_generation_mw")} FROM ({FUEL_DAILY}) GROUP BY date",
+        then=f"""SELECT date, {rounded("sum(avg_mw)", "total_generation_mw")}
+          FROM ({FUEL_DAILY}) GROUP BY date""",
     ),
     "fuel_pivot": with_views("v_fuelmix", then=f"SELECT date, {FUEL_ROUNDED} FROM ({MIX})"),
     "fuel_share": with_views("v_fuelmix", then=f"SELECT date, {SHARES} FROM ({MIX})"),
@@ -395,10 +406,9 @@ ORACLES: dict[str, str] = {
     ),
     "adequacy_mart": with_views(
         "v_psp",
-        then=f"""SELECT date, region, state, {", ".join(rounded(m, m) for m in ADEQUACY)}, source_url,
+        then=f"""SELECT date, region, state, {rounded_all(*ADEQUACY)}, source_url,
             {rounded("peak_demand_mw - peak_demand_met_mw", "peak_demand_gap_mw")},
-            {rounded("CASE WHEN peak_demand_mw > 0 THEN peak_demand_met_mw / peak_demand_mw * 100 END", "demand_met_pct")},
-            {rounded("CASE WHEN energy_met_mu + energy_shortage_mu > 0 THEN energy_shortage_mu / (energy_met_mu + energy_shortage_mu) * 100 END", "energy_shortage_pct")},
+            {rounded(DEMAND_MET, "demand_met_pct")}, {rounded(ENERGY_SHORTAGE, "energy_shortage_pct")},
             {rounded("frequency_max_hz - frequency_min_hz", "frequency_range_hz")},
             {newest("v_psp")} AS ingestion_timestamp
           FROM ({ADEQUACY_DAILY})""",

@@ -27,7 +27,10 @@ def frame(spark, data):
 
 @pytest.fixture
 def silver(spark):
-    return frame(spark, [(1, at(1, 5), at(2)), (2, at(5), at(6)), (3, at(6, 23), at(7)), (4, at(1, 9), at(9))])
+    return frame(
+        spark,
+        [(1, at(1, 5), at(2)), (2, at(5), at(6)), (3, at(6, 23), at(7)), (4, at(1, 9), at(9))],
+    )
 
 
 def ids(df):
@@ -72,7 +75,8 @@ def test_late_rows_bring_their_whole_day(spark, silver):
     assert ids(touched_days(silver, gold, F.expr(DAY))) == [1, 4]
     unknown_day = gold.where("date <> '2024-01-05'")
     assert ids(touched_days(silver, unknown_day, F.expr(DAY))) == [1, 2, 4]
-    stale = gold.withColumn("ingestion_timestamp", F.when(F.col("date") == "2024-01-06", F.lit(at(6))).otherwise(F.lit(at(9))))
+    stamp = F.when(F.col("date") == "2024-01-06", F.lit(at(6))).otherwise(F.lit(at(9)))
+    stale = gold.withColumn("ingestion_timestamp", stamp)
     assert ids(touched_days(silver, stale, F.expr(DAY))) == [3]
     assert ids(touched_days(silver, None, F.expr(DAY))) == [1, 2, 3, 4]
 

@@ -83,7 +83,9 @@ def test_window_content_and_entity_keys(spark):
 
 def test_copies_within_a_batch_land_once_the_earliest(spark):
     times = [datetime(2024, 1, d) for d in (3, 2, 4)]
-    rows = spark.createDataFrame([(json.dumps({"a": 1}), t) for t in times], "raw_response string, at timestamp")
+    rows = spark.createDataFrame(
+        [(json.dumps({"a": 1}), t) for t in times], "raw_response string, at timestamp"
+    )
     out = land_new(envelope(rows, PSP, "api", ingested=F.col("at")), None, HASH_KEY)
     assert [r.ingestion_timestamp for r in out.collect()] == [datetime(2024, 1, 2)]
 
