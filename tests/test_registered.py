@@ -24,7 +24,7 @@ def test_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert not QUERIES.keys() - driver.oracle_sql().keys()
 
 
 def test_entry_has_rows_and_a_stable_schema(spark):
