@@ -25,7 +25,7 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
-def steps(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+def steps(batches: Iterator[pa.RecordBatch], column: str | int = "text") -> Iterator[pa.RecordBatch]:
     """The same rows in slices of at most STEP_ROWS rows and, but for single rows, STEP_BYTES of ``column``."""
     for batch in batches:
         sizes = pc.binary_length(batch.column(column)).to_pylist() if batch.num_rows else []
@@ -51,3 +51,11 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     folder = new_folder(spark, name)
     rows.write.option("compression", "zstd").parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)
+
+
+def fresh(rows: DataFrame, name: str) -> str:
+    """A column name that ``rows`` does not have, compared as Spark does, without case."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

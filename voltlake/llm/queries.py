@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltlake.llm import bpe, sharding
+from voltlake.llm import bpe, chunk_dedup, sharding, simhash
 from voltlake.llm.common import documents
 
 
@@ -23,9 +23,31 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(documents(spark, sf_dir))
 
 
+def op5_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.copy_groups(documents(spark, sf_dir))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_sharding": op2_sharding,
+    "op5_chunk_dedup": op5_chunk_dedup,
+    "op6_simhash": op6_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+OP5_SQL = """
+SELECT doc_id,
+       max(doc_id) OVER same AS keep_id,
+       count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+ORACLES: dict[str, str] = {
+    "op5_chunk_dedup": OP5_SQL,
+}
