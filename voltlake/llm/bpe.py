@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltlake.llm.common import id_and_text, steps
+from voltlake.llm.common import STEP_ROWS, id_and_text, steps
 
 LEAF_CHARS = 4096
 SPREAD_CHARS = 65536
@@ -249,8 +249,10 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(tokenizer)
         for batch in batches:
-            out = [own.decode(ids or []) for ids in batch.column(1).to_pylist()]
-            yield pa.record_batch([*batch.columns, pa.array(out, pa.string())], ["doc_id", "ids", "decoded"])
+            for start in range(0, batch.num_rows, STEP_ROWS):
+                step = batch.slice(start, STEP_ROWS)
+                out = [own.decode(ids.values.to_numpy().tolist() if ids.is_valid else []) for ids in step.column(1)]
+                yield pa.record_batch([*step.columns, pa.array(out, pa.string())], ["doc_id", "ids", "decoded"])
 
     return rows.mapInArrow(texts, "doc_id bigint, ids array<int>, decoded string")
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voltlake.llm import bpe, chunk_dedup, sharding, simhash
+from voltlake.llm import bpe, chunk_dedup, sharding, simhash, token_counts, token_files
 from voltlake.llm.common import documents
 
 
@@ -23,6 +24,15 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(documents(spark, sf_dir))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(documents(spark, sf_dir), tokenizer()).select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 def op5_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.copy_groups(documents(spark, sf_dir))
 
@@ -31,11 +41,17 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), tokenizer())
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_sharding": op2_sharding,
+    "op3_token_files": op3_token_files,
     "op5_chunk_dedup": op5_chunk_dedup,
     "op6_simhash": op6_simhash,
+    "op7_token_counts": op7_token_counts,
 }
 
 OP5_SQL = """
