@@ -82,29 +82,27 @@ class Codec:
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
-    def encode(self, text: str, leaf_chars: int = LEAF_CHARS) -> np.ndarray:
+    def encode(self, text: str, leaf_chars: int = LEAF_CHARS, special: bool = True) -> np.ndarray:
         """Ids of a text by tree concatenation."""
         if len(text) <= leaf_chars:
-            return self.piece(text)
-        return self.join(
-            [(p.encode(), self.piece(p)) for p in halves(text, leaf_chars)]
-        )
+            return self.piece(text, special)
+        return self.join([(p.encode(), self.piece(p, special)) for p in halves(text, leaf_chars)], special)
 
-    def join(self, nodes: list[tuple[bytes, np.ndarray]]) -> np.ndarray:
+    def join(self, nodes: list[tuple[bytes, np.ndarray]], special: bool = True) -> np.ndarray:
         """Ids of neighbouring pieces, joined pairwise level by level."""
         while len(nodes) > 1:
-            pairs = [self._pair(*nodes[i], *nodes[i + 1]) for i in range(0, len(nodes) - 1, 2)]
+            pairs = [self._pair(*nodes[i], *nodes[i + 1], special) for i in range(0, len(nodes) - 1, 2)]
             nodes = pairs + nodes[len(pairs) * 2 :]
         return nodes[0][1]
 
     def _pair(
-        self, a: bytes, left: np.ndarray, b: bytes, right: np.ndarray
+        self, a: bytes, left: np.ndarray, b: bytes, right: np.ndarray, special: bool
     ) -> tuple[bytes, np.ndarray]:
         size = FIRST_WINDOW
         while True:
             i, start, hard_start = self._left_edge(a, left, size)
             j, end, hard_end = self._right_edge(b, right, size)
-            window = self.piece((a[start:] + b[:end]).decode())
+            window = self.piece((a[start:] + b[:end]).decode(), special)
             same_start = hard_start or window[0] == left[i]
             same_end = hard_end or window[-1] == right[j - 1]
             if same_start and same_end:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlake.llm import bpe, chunk_dedup, sharding, simhash, token_counts, token_files
+from voltlake.llm import bpe, chunk_dedup, decontaminate, language, sharding, simhash, token_counts, token_files
 from voltlake.llm.common import documents
 
 
@@ -45,6 +45,15 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), tokenizer())
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.contaminated(documents(spark, sf_dir), benchmark)
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predictions(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_sharding": op2_sharding,
@@ -52,6 +61,8 @@ QUERIES = {
     "op5_chunk_dedup": op5_chunk_dedup,
     "op6_simhash": op6_simhash,
     "op7_token_counts": op7_token_counts,
+    "op8_decontaminate": op8_decontaminate,
+    "op10_language": op10_language,
 }
 
 OP5_SQL = """
