@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlake.llm import bpe, chunk_dedup, decontaminate, language, sharding, simhash, token_counts, token_files
+from voltlake.llm import bpe, chunk_dedup, decontaminate, language, lm, sharding, simhash, token_counts, token_files
 from voltlake.llm.common import documents
 
 
@@ -50,6 +50,10 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf_dir), benchmark)
 
 
+def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predictions(documents(spark, sf_dir))
 
@@ -62,6 +66,7 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_token_counts": op7_token_counts,
     "op8_decontaminate": op8_decontaminate,
+    "op9_pitman_yor": op9_pitman_yor,
     "op10_language": op10_language,
 }
 
