@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlake.llm import bpe, chunk_dedup, decontaminate, language, lm, sharding, simhash, token_counts, token_files
+from voltlake.llm import bpe, chunk_dedup, decontaminate, language, lm, pii, sharding, simhash, token_counts, token_files
 from voltlake.llm.common import documents
 
 
@@ -33,6 +33,13 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return pii.find(docs, pii.learn(docs)).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
+
+
 def op5_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.copy_groups(documents(spark, sf_dir))
 
@@ -62,6 +69,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_sharding": op2_sharding,
     "op3_token_files": op3_token_files,
+    "op4_pii": op4_pii,
     "op5_chunk_dedup": op5_chunk_dedup,
     "op6_simhash": op6_simhash,
     "op7_token_counts": op7_token_counts,
