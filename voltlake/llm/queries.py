@@ -78,6 +78,36 @@ QUERIES = {
     "op10_language": op10_language,
 }
 
+# The check sum by its defining recurrence; the shard by the middle byte of each row.
+OP2_SQL = """
+WITH RECURSIVE
+steps AS (
+  SELECT i AS byte, i::BIGINT AS crc, 0 AS k FROM range(256) r(i)
+  UNION ALL
+  SELECT byte, CASE WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384::BIGINT) ELSE crc >> 1 END, k + 1
+  FROM steps WHERE k < 8
+),
+crc_table AS (SELECT list(crc ORDER BY byte) AS entries FROM steps WHERE k = 8),
+sized AS (
+  SELECT doc_id, coalesce(text, '') AS text, strlen(coalesce(text, '')) + 1 AS size, hex(encode(coalesce(text, ''))) AS digits
+  FROM documents
+),
+summed AS (
+  SELECT doc_id, size,
+    xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(digits, '..'), lambda pair: ('0x' || pair)::BIGINT)),
+      lambda crc, byte: xor(crc >> 8, entries[(xor(crc, byte) & 255) + 1])
+    ), 4294967295::BIGINT)::BIGINT AS text_crc32
+  FROM sized, crc_table
+),
+placed AS (
+  SELECT *, (2 * sum(size) OVER (ORDER BY doc_id) - size) * 16 // (2 * sum(size) OVER ()) AS shard FROM summed
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard::INTEGER AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM placed
+"""
+
 OP5_SQL = """
 SELECT doc_id,
        max(doc_id) OVER same AS keep_id,
@@ -89,5 +119,6 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 ORACLES: dict[str, str] = {
+    "op2_sharding": OP2_SQL,
     "op5_chunk_dedup": OP5_SQL,
 }
