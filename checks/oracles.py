@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from checks.queries import SUMMARY
 from checks.views import with_views
 
 ISO = "'%Y-%m-%dT%H:%M:%S.%fZ'"
@@ -172,6 +171,7 @@ def upserted(same: str) -> str:
 
 
 NULL_SAFE = upserted("IS NOT DISTINCT FROM")
+FIRST_BATCH = with_views("v_batches", then=f"SELECT {OBSERVED} FROM v_batches WHERE batch = 0")
 
 HOURLY_REQUESTS = f"""
     SELECT 'grid_api' AS source, 'state_demand_timeseries' AS dataset,
@@ -186,6 +186,26 @@ DEMAND_COLUMNS = f"""state, timestamp, region, {rounded("demand_mw", "demand_mw"
     {rounded("peak_mw", "peak_mw")}, {rounded("frequency_hz", "frequency_hz")}, source, source_type,
     rolling_peak_24mo_mw, installed_in_state_mw, allocated_share_mw, ingestion_timestamp"""
 
+# The four marts over whole feeds.
+STATE_MART = state_daily("v_demand", stamp=newest("v_demand"))
+GRID_MART = f"""SELECT d.*, {FREQUENCY_COLUMNS}, frequency_observations, m.* EXCLUDE (date),
+            {rounded("abs(avg_frequency_hz - 50)", "frequency_deviation_hz")},
+            {NEWEST_OF_THREE} AS ingestion_timestamp
+          FROM ({DEMAND_DAILY}) d LEFT JOIN ({FREQUENCY_DAILY}) f USING (date)
+          LEFT JOIN (SELECT date, {SHARES} FROM ({MIX})) m USING (date)
+          WHERE (SELECT count(*) FROM v_fuelmix) > 0 AND (SELECT count(*) FROM v_frequency) > 0"""
+ADEQUACY_MART = f"""SELECT date, region, state, {rounded_all(*ADEQUACY)}, source_url,
+            {rounded("peak_demand_mw - peak_demand_met_mw", "peak_demand_gap_mw")},
+            {rounded(DEMAND_MET, "demand_met_pct")}, {rounded(ENERGY_SHORTAGE, "energy_shortage_pct")},
+            {rounded("frequency_max_hz - frequency_min_hz", "frequency_range_hz")},
+            {newest("v_psp")} AS ingestion_timestamp
+          FROM ({ADEQUACY_DAILY})"""
+WEATHER_MART = f"""SELECT state_key, hour, {DEMAND_ROUNDED}, {WEATHER_ROUNDED},
+            {rounded("apparent_temperature - temperature", "apparent_temperature_delta_c")},
+            greatest({newest("v_demand", "source_type = 'official'")}, {newest("v_weather")})
+              AS ingestion_timestamp
+          FROM ({OFFICIAL_HOURLY}) JOIN ({WEATHER_HOURLY}) USING (state_key, hour)"""
+
 ORACLES: dict[str, str] = {
     "bronze_scan": with_views(
         "v_demand",
@@ -202,19 +222,17 @@ ORACLES: dict[str, str] = {
     "land_window_dedup": with_views(
         "v_national_demand",
         then=f"""
-        SELECT DISTINCT {envelope("national_demand_4min")} FROM v_national_demand
-        WHERE ingestion_timestamp >= {ORDER_HISTORY}""",
+        SELECT DISTINCT {envelope("national_demand_4min")} FROM v_national_demand""",
     ),
     "land_entity_dedup": with_views(
         "v_demand",
         then=f"""
-        SELECT source, dataset, from_timestamp, to_timestamp, state FROM ({HOURLY_REQUESTS})
-        GROUP BY ALL HAVING NOT bool_or(landed)""",
+        SELECT DISTINCT source, dataset, from_timestamp, to_timestamp, state FROM ({HOURLY_REQUESTS})""",
     ),
     "land_hash_dedup": f"""
         SELECT 'grid_api' AS source, 'posoco_psp' AS dataset, min(ts) AS ingestion_timestamp, user_id,
           CAST(floor(value) AS BIGINT) AS amount
-        FROM events GROUP BY user_id, CAST(floor(value) AS BIGINT) HAVING min(ts) >= {OVERLAP}""",
+        FROM events GROUP BY user_id, CAST(floor(value) AS BIGINT)""",
     "landed_entities": with_views(
         "v_demand", then=f"SELECT DISTINCT state FROM ({HOURLY_REQUESTS}) WHERE {IN_WINDOW}"
     ),
@@ -240,6 +258,17 @@ ORACLES: dict[str, str] = {
         then="""SELECT 'grid_frequency' AS dataset, ingestion_timestamp, '{"data": [' AS raw_response
           FROM v_frequency WHERE region IS NULL""",
     ),
+    "rejected_payloads": with_views(
+        "v_frequency",
+        then="""SELECT 'grid_frequency' AS dataset,
+            CASE WHEN region IS NULL THEN ingestion_timestamp END AS ingestion_timestamp,
+            CASE WHEN region IS NULL THEN '{"data": [' ELSE '{"source": "grid_api", "dat' END AS raw_response,
+            CASE WHEN region IS NULL THEN 'payload' ELSE 'line' END AS reason
+          FROM v_frequency WHERE region IS NULL OR region = 'South'""",
+    ),
+    "processed_stamp": with_views(
+        "v_demand", then="SELECT state, timestamp, source, true AS stamped_in_run FROM v_demand"
+    ),
     "flatten_object": frequency_records("v_frequency", iso("timestamp")),
     "flatten_items": with_views(
         "v_psp",
@@ -300,7 +329,13 @@ ORACLES: dict[str, str] = {
             "ingestion_timestamp DESC, mw DESC, source_url DESC, is_provisional DESC",
         ),
     ),
-    "upsert_bootstrap": with_views("v_batches", then=f", {BATCHES} SELECT * FROM stored"),
+    "upsert_bootstrap": FIRST_BATCH,
+    "upsert_empty_batch": FIRST_BATCH,
+    "upsert_out_of_order": with_views(
+        "v_batches",
+        then=f"SELECT {OBSERVED} FROM "
+        + best("v_batches", "state, timestamp, source", "ingestion_timestamp DESC"),
+    ),
     "upsert_merge": NULL_SAFE,
     "upsert_null_safe": NULL_SAFE,
     "upsert_plain_keys": upserted("="),
@@ -327,12 +362,18 @@ ORACLES: dict[str, str] = {
         """,
     ),
     "touched_dates_rebuild": with_views(
-        "v_demand",
         "v_batches",
         then=state_daily(
             "v_batches",
             f"""CAST(timestamp AS DATE) IN (SELECT CAST(timestamp AS DATE) FROM v_batches
-              WHERE ingestion_timestamp > {newest("v_demand", f"timestamp < {HISTORY}")})""",
+              WHERE ingestion_timestamp >= {OVERLAP})""",
+        ),
+    ),
+    "corrected_group_rebuild": with_views(
+        "v_batches",
+        then=state_daily(
+            """(SELECT * REPLACE (CASE WHEN state LIKE '%1' THEN 'MOVED' ELSE region END AS region)
+              FROM v_batches WHERE batch = 1 AND source IS NOT NULL)"""
         ),
     ),
     "input_gate": with_views(
@@ -390,37 +431,21 @@ ORACLES: dict[str, str] = {
     "adequacy_first_url": with_views(
         "v_psp", then=f"SELECT date, region, state, source_url FROM ({ADEQUACY_DAILY})"
     ),
-    "state_demand_mart": with_views(
-        "v_demand", then=state_daily("v_demand", stamp=newest("v_demand"))
-    ),
+    "state_demand_mart": with_views("v_demand", then=STATE_MART),
     "national_grid_mart": with_views(
         "v_national_demand",
         "v_fuelmix",
         "v_frequency",
-        then=f"""SELECT d.*, {FREQUENCY_COLUMNS}, frequency_observations, m.* EXCLUDE (date),
-            {rounded("abs(avg_frequency_hz - 50)", "frequency_deviation_hz")},
-            {NEWEST_OF_THREE} AS ingestion_timestamp
-          FROM ({DEMAND_DAILY}) d LEFT JOIN ({FREQUENCY_DAILY}) f USING (date)
-          LEFT JOIN (SELECT date, {SHARES} FROM ({MIX})) m USING (date)
-          WHERE (SELECT count(*) FROM v_fuelmix) > 0 AND (SELECT count(*) FROM v_frequency) > 0""",
+        then=GRID_MART,
     ),
     "adequacy_mart": with_views(
         "v_psp",
-        then=f"""SELECT date, region, state, {rounded_all(*ADEQUACY)}, source_url,
-            {rounded("peak_demand_mw - peak_demand_met_mw", "peak_demand_gap_mw")},
-            {rounded(DEMAND_MET, "demand_met_pct")}, {rounded(ENERGY_SHORTAGE, "energy_shortage_pct")},
-            {rounded("frequency_max_hz - frequency_min_hz", "frequency_range_hz")},
-            {newest("v_psp")} AS ingestion_timestamp
-          FROM ({ADEQUACY_DAILY})""",
+        then=ADEQUACY_MART,
     ),
     "weather_demand_mart": with_views(
         "v_demand",
         "v_weather",
-        then=f"""SELECT state_key, hour, {DEMAND_ROUNDED}, {WEATHER_ROUNDED},
-            {rounded("apparent_temperature - temperature", "apparent_temperature_delta_c")},
-            greatest({newest("v_demand", "source_type = 'official'")}, {newest("v_weather")})
-              AS ingestion_timestamp
-          FROM ({OFFICIAL_HOURLY}) JOIN ({WEATHER_HOURLY}) USING (state_key, hour)""",
+        then=WEATHER_MART,
     ),
     "state_demand_local_days": with_views(
         "v_demand",
@@ -441,40 +466,47 @@ ORACLES: dict[str, str] = {
 ORACLES["silver_stream"] = ORACLES["silver_chain"]
 
 
-def _summary(mart: str, day: str, relation: str) -> str:
-    measure = SUMMARY[mart]
-    return f"""SELECT '{mart}' AS mart, CAST({day} AS DATE) AS day, count(*) AS n_rows,
-      {rounded(f"min({measure})", "smallest")}, {rounded(f"max({measure})", "largest")}
-      FROM ({relation}) GROUP BY CAST({day} AS DATE)"""
+# Silver keeps one row per key, so the marts of the full chain start from deduplicated feeds.
+DEDUPED = {
+    "v_demand": ("state, timestamp, source", "demand_mw DESC"),
+    "v_weather": ("state, timestamp", "temperature DESC"),
+    "v_national_demand": ("timestamp, source", "demand_mw DESC"),
+    "v_fuelmix": ("timestamp, fuel, source", "mw DESC"),
+    "v_frequency": ("timestamp, region", "frequency_hz DESC"),
+    "v_psp": (
+        "date, region, state, source_url",
+        "peak_demand_mw DESC, peak_demand_met_mw DESC NULLS LAST",
+    ),
+}
+MART_KEYS = {
+    "state_demand": (STATE_MART, ("date", "region", "state")),
+    "national_grid": (GRID_MART, ("date",)),
+    "state_adequacy": (ADEQUACY_MART, ("date", "region", "state")),
+    "state_weather_demand": (WEATHER_MART, ("hour", "state_key")),
+}
 
 
-# Silver keeps one row per key, so the marts of the full chain start from deduplicated feeds.
-_FUELMIX = best("v_fuelmix", "timestamp, fuel, source", "mw DESC")
-_PSP = best(
-    "v_psp",
-    "date, region, state, source_url",
-    "peak_demand_mw DESC, peak_demand_met_mw DESC NULLS LAST",
-)
+def _measures(mart: str) -> str:
+    """(mart, key, measure, value) of every value that is not null."""
+    body, keys = MART_KEYS[mart]
+    parts = [
+        f"coalesce({'strftime(hour, $fmt$%Y-%m-%d %H:%M:%S$fmt$)' if k == 'hour' else f'CAST({k} AS VARCHAR)'}, '-')"
+        for k in keys
+    ]
+    text = ", source_url" if mart == "state_adequacy" else ""
+    numbers = f"COLUMNS(* EXCLUDE ({', '.join(keys)}{text}, ingestion_timestamp))"
+    return f"""SELECT '{mart}' AS mart, key, measure, value FROM (
+      UNPIVOT (SELECT concat_ws('|', {', '.join(parts)}) AS key{text},
+          CAST(CAST(round(CAST({numbers} AS DOUBLE) * 65536) AS BIGINT) AS VARCHAR)
+        FROM ({body})) ON COLUMNS(* EXCLUDE (key)) INTO NAME measure VALUE value)"""
 
-ORACLES["layers_end_to_end"] = with_views(
-    "v_demand",
-    "v_weather",
-    "v_national_demand",
-    "v_fuelmix",
-    "v_psp",
-    then=f"""
-    {_summary("state_demand", "date", '''SELECT CAST(timestamp AS DATE) AS date,
-        avg(demand_mw) AS avg_demand_mw FROM v_demand GROUP BY state, region, CAST(timestamp AS DATE)''')}
-    UNION ALL
-    {_summary("national_grid", "date", f'''SELECT date, total AS total_generation_mw
-        FROM (SELECT DISTINCT CAST(timestamp AS DATE) AS date FROM v_national_demand)
-        LEFT JOIN ({MIX.replace("v_fuelmix", _FUELMIX)}) USING (date)''')}
-    UNION ALL
-    {_summary("state_adequacy", "date", f'''SELECT date, CASE WHEN peak_demand_mw > 0
-        THEN peak_demand_met_mw / peak_demand_mw * 100 END AS demand_met_pct
-        FROM ({ADEQUACY_DAILY.replace("v_psp", _PSP)})''')}
-    UNION ALL
-    {_summary("state_weather_demand", "hour", f'''SELECT hour, temperature FROM ({OFFICIAL_HOURLY})
-        JOIN ({WEATHER_HOURLY}) USING (state_key, hour)''')}
-    """,
-)
+
+def _end_to_end() -> str:
+    text = with_views(*DEDUPED, then="")
+    for name in DEDUPED:
+        text = text.replace(f"{name} AS (", f"{name}_all AS (", 1)
+    kept = ", ".join(f"{n} AS {best(f'{n}_all', *how)}" for n, how in DEDUPED.items())
+    return f"{text}, {kept} {' UNION ALL '.join(map(_measures, MART_KEYS))}"
+
+
+ORACLES["layers_end_to_end"] = _end_to_end()

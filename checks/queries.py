@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from dataclasses import replace
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,19 +15,27 @@ from checks.payloads import SOURCE, bronze, bronze_by_content, payload
 from checks.views import load, view
 from voltlake.functions import normalized_key
 from voltlake.operators import derived, incremental, landing, rollups
-from voltlake.operators.conform import conform
+from voltlake.operators.conform import conform, stamp_processed
 from voltlake.operators.dedupe import one_per_key
-from voltlake.operators.flatten import flatten, flatten_inferred, payload_fields, unreadable
+from voltlake.operators.flatten import flatten, flatten_inferred, payload_fields, rejected
 from voltlake.operators.incremental import newer_than, rolling_window
 from voltlake.operators.upsert import upsert
 from voltlake.plans import marts
-from voltlake.plans.layers import MARTS, bronze_path, gold_path, refresh_layers, together
+from voltlake.plans.layers import (
+    MARTS,
+    bronze_path,
+    gold_path,
+    refresh_gold,
+    refresh_layers,
+    silver_path,
+    together,
+)
 from voltlake.plans.silver import observations, silver_batch
 from voltlake.session import pin_utc
 from voltlake.sources import feeds
-from voltlake.sources.bronze import append_bronze, land, landing_key, scan_bronze
+from voltlake.sources.bronze import append_bronze, land, scan_bronze
 from voltlake.sources.staging import new_folder
-from voltlake.sources.tables import PERIOD, Table, merge_into, read_table
+from voltlake.sources.tables import PERIOD, Table, merge_into, read_table, silver_table
 from voltlake.streaming.silver import follow_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,15 +47,6 @@ OBSERVED = ["state", "timestamp", "source", "demand_mw", "ingestion_timestamp"]
 HISTORY = datetime(2024, 1, 20)
 OVERLAP = datetime(2024, 1, 16)
 ORDER_HISTORY = datetime(1998, 1, 1)
-# The measure checked per mart by ``layers_end_to_end``.
-SUMMARY = {
-    "state_demand": "avg_demand_mw",
-    "national_grid": "total_generation_mw",
-    "state_adequacy": "demand_met_pct",
-    "state_weather_demand": "temperature",
-}
-
-
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return present(fn(pin_utc(spark), sf_dir))
@@ -82,8 +82,9 @@ def present(rows: DataFrame) -> DataFrame:
 @query
 def bronze_scan(spark, sf_dir):
     path = new_folder(spark, "bronze")
-    append_bronze(bronze(view(spark, sf_dir, "v_demand"), feeds.STATE_DEMAND), path, feeds.STATE_DEMAND)
-    rows = scan_bronze(spark, path, feeds.STATE_DEMAND)
+    rows = bronze(view(spark, sf_dir, "v_demand"), feeds.STATE_DEMAND)
+    append_bronze(rows, path, feeds.STATE_DEMAND, "json")
+    rows = scan_bronze(spark, path, feeds.STATE_DEMAND, "json").drop("corrupt_line")
     raw = F.col("raw_response")
     return rows.select(
         *[c for c in rows.columns if c not in ("raw_response", "ingest_period")],
@@ -104,11 +105,19 @@ def envelope_build(spark, sf_dir):
     )
 
 
+def landed_twice(spark, feed, landed, new):
+    """Bronze after both have landed, one after the other."""
+    path = new_folder(spark, "bronze")
+    for rows in (landed, new):
+        land(spark, rows, path, feed)
+    return scan_bronze(spark, path, feed)
+
+
 @query
 def land_window_dedup(spark, sf_dir):
     new = bronze(view(spark, sf_dir, "v_national_demand"), feeds.NATIONAL_DEMAND)
     landed = new.where(F.col("ingestion_timestamp") < F.lit(ORDER_HISTORY))
-    return landing.land_new(new, landed, landing.WINDOW_KEY).drop("raw_response")
+    return landed_twice(spark, feeds.NATIONAL_DEMAND, landed, new).drop("raw_response", "ingest_period")
 
 
 @query
@@ -117,7 +126,8 @@ def land_entity_dedup(spark, sf_dir):
     landed = new.where(
         (F.col("ingestion_timestamp") < F.lit(OVERLAP)) | F.col("region").isin("ASIA", "EUROPE")
     )
-    return landing.land_new(new, landed, landing.ENTITY_KEY).select(*landing.ENTITY_KEY)
+    rows = landed_twice(spark, feeds.STATE_DEMAND, landed.drop("region"), new.drop("region"))
+    return rows.select(*landing.ENTITY_KEY)
 
 
 @query
@@ -132,8 +142,7 @@ def land_hash_dedup(spark, sf_dir):
     landed = rows(F.format_string('{ "amount": %d,  "user_id": %d }', "amount", "user_id")).where(
         F.col("ingestion_timestamp") < F.lit(OVERLAP)
     )
-    fresh = landing.land_new(new, landed, landing.HASH_KEY)
-    return fresh.select(
+    return landed_twice(spark, feeds.PSP, landed, new).select(
         "source",
         "dataset",
         "ingestion_timestamp",
@@ -150,7 +159,9 @@ def hourly_requests(spark, sf_dir):
         F.lit(feeds.STATE_DEMAND.dataset).alias("dataset"),
         "state",
         *[c.alias(n) for c, n in zip(landing.request_window(end, 1), ("from_timestamp", "to_timestamp"))],
+        F.lit(1).cast("bigint").alias("hours"),
         end.alias("ingestion_timestamp"),
+        F.lit("{}").alias("raw_response"),
         "region",
     )
 
@@ -263,7 +274,23 @@ def unreadable_payloads(spark, sf_dir):
     """The payloads of the unnamed region break off."""
     text = F.when(F.col("region").isNull(), '{"data": [').otherwise(payload(feeds.FREQUENCY, "data"))
     rows = bronze(view(spark, sf_dir, "v_frequency"), feeds.FREQUENCY, text=text)
-    return unreadable(rows).select("dataset", "ingestion_timestamp", "raw_response")
+    return rejected(rows, feeds.FREQUENCY).select("dataset", "ingestion_timestamp", "raw_response")
+
+
+@query
+def rejected_payloads(spark, sf_dir):
+    """The payloads of the unnamed region break off, and those of the South arrive as broken lines."""
+    path, feed, region = new_folder(spark, "bronze"), feeds.FREQUENCY, F.col("region")
+    rows = view(spark, sf_dir, "v_frequency")
+    text = F.when(region.isNull(), '{"data": [').otherwise(payload(feed, "data"))
+    good = rows.where(region.isNull() | (region != "South"))
+    append_bronze(bronze(good, feed, text=text), path, feed, "json")
+    lines = rows.where(region == "South").select(
+        F.lit('{"source": "grid_api", "dat').alias("value"),
+        F.to_date(F.date_trunc("month", "ingestion_timestamp")).alias("ingest_period"),
+    )
+    lines.write.mode("append").partitionBy("ingest_period").text(path)
+    return rejected(scan_bronze(spark, path, feed, "json"), feed)
 
 
 @query
@@ -319,6 +346,17 @@ def conform_psp(spark, sf_dir):
     return conform(flatten(bronze_by_content(view(spark, sf_dir, "v_psp"), feeds.PSP), feeds.PSP), feeds.PSP)
 
 
+@query
+def processed_stamp(spark, sf_dir):
+    """Whether the stamp lies within the run, for every observation."""
+    started = F.lit(datetime.now(timezone.utc))
+    rows = stamp_processed(conformed(spark, sf_dir, "v_demand", feeds.STATE_DEMAND))
+    inside = F.col("processed_timestamp").between(
+        started - F.expr("INTERVAL '1' MINUTE"), started + F.expr("INTERVAL '1' HOUR")
+    )
+    return rows.select("state", "timestamp", "source", inside.alias("stamped_in_run"))
+
+
 # Dedupe and upsert
 
 
@@ -338,7 +376,25 @@ def two_batches(spark, sf_dir):
 @query
 def upsert_bootstrap(spark, sf_dir):
     path = new_folder(spark, "table")
-    merge_into(two_batches(spark, sf_dir)[0], path, OBSERVATIONS)
+    merge_into(view(spark, sf_dir, "v_batches").where("batch = 0"), path, OBSERVATIONS)
+    return read_table(spark, path).select(*OBSERVED)
+
+
+@query
+def upsert_empty_batch(spark, sf_dir):
+    """A batch without rows leaves the table as it is."""
+    path, rows = new_folder(spark, "table"), view(spark, sf_dir, "v_batches")
+    for batch in (rows.where("batch = 0"), rows.where("batch = 2")):
+        merge_into(batch, path, OBSERVATIONS)
+    return read_table(spark, path).select(*OBSERVED)
+
+
+@query
+def upsert_out_of_order(spark, sf_dir):
+    """The corrected batch is merged first, the older one after it: the newest ingest time still wins."""
+    path, rows = new_folder(spark, "table"), view(spark, sf_dir, "v_batches")
+    for batch in (1, 0):
+        merge_into(rows.where(F.col("batch") == batch), path, replace(OBSERVATIONS, newest=incremental.INGESTED))
     return read_table(spark, path).select(*OBSERVED)
 
 
@@ -395,11 +451,25 @@ def rolling_rebuild(spark, sf_dir):
 
 @query
 def touched_dates_rebuild(spark, sf_dir):
-    gold = gold_so_far(spark, sf_dir)
-    late = incremental.touched_days(view(spark, sf_dir, "v_batches"), gold, event_day())
+    rows = view(spark, sf_dir, "v_batches")
+    then = rows.where(F.col("ingestion_timestamp") < F.lit(OVERLAP))
+    late = incremental.touched_days(rows, incremental.newest_by_day(then, event_day()), event_day())
     return rollups.state_demand_daily(late)
 
 
+@query
+def corrected_group_rebuild(spark, sf_dir):
+    """The second batch moves states to another region: recomputed days keep nothing of the old one."""
+    root, rows = new_folder(spark, "layers"), view(spark, sf_dir, "v_batches")
+    moved = F.when((F.col("batch") == 1) & F.col("state").endswith("1"), "MOVED").otherwise(F.col("region"))
+    mart, table = MARTS[0], silver_table(feeds.STATE_DEMAND)
+    for batch in (0, 1):
+        part = rows.where(F.col("batch") == batch).withColumn("region", moved).drop("batch")
+        merge_into(part.where("source IS NOT NULL"), silver_path(root, feeds.STATE_DEMAND), table)
+        refresh_gold(spark, root, mart, late=True)
+    return read_table(spark, gold_path(root, mart)).drop(PERIOD, "ingestion_timestamp")
+
+
 @query
 def input_gate(spark, sf_dir):
     days = rollups.national_demand_daily(view(spark, sf_dir, "v_national_demand"))
@@ -521,7 +591,7 @@ def silver_chain(spark, sf_dir):
     rows = bronze(view(spark, sf_dir, "v_batches"), feeds.STATE_DEMAND)
     stored = rows.where(F.col("ingestion_timestamp") < F.lit(HISTORY))
     silver = observations(stored, feeds.STATE_DEMAND)
-    batch = silver_batch(rows, feeds.STATE_DEMAND, silver).drop("processed_timestamp")
+    batch = silver_batch(newer_than(rows, silver), feeds.STATE_DEMAND).drop("processed_timestamp")
     return upsert(silver, batch, feeds.STATE_DEMAND.keys)
 
 
@@ -539,7 +609,8 @@ def silver_stream(spark, sf_dir):
 def arrivals(spark, sf_dir, first):
     """(feed, payload rows) of the first run, and of the second, which offers everything again.
 
-    Feeds that cannot repeat a request offer only their new payloads.
+    Every payload holds one row of a table. Feeds that are asked for by window get a window of their own
+    for each payload: its end is moved by the hash of the row.
     """
     for feed, name, history in (
         (feeds.STATE_DEMAND, "v_demand", HISTORY),
@@ -550,46 +621,38 @@ def arrivals(spark, sf_dir, first):
         (feeds.FREQUENCY, "v_frequency", ORDER_HISTORY),
     ):
         rows, old = view(spark, sf_dir, name), F.col("ingestion_timestamp") < F.lit(history)
+        micros = F.pmod(F.xxhash64(*rows.columns), F.lit(2**45))
+        own = F.timestamp_micros(F.unix_micros(F.col("ingestion_timestamp").cast("timestamp")) + micros)
         if feed is feeds.PSP:
             rows = bronze_by_content(rows, feed)
         elif feed is feeds.FREQUENCY:
-            rows = bronze(rows, feed, "array")
+            rows = bronze(rows, feed, "array", at=own)
         else:
-            at = F.col("timestamp") if feed.per_state else F.col("ingestion_timestamp")
-            rows = bronze(rows, feed, at=at)
-        if first:
-            rows = rows.where(old)
-        elif landing_key(feed) == landing.WINDOW_KEY:
-            rows = rows.where(~old)
-        yield feed, rows
+            rows = bronze(rows, feed, at=F.col("timestamp") if feed.per_state else own)
+        yield feed, rows.where(old) if first else rows
 
 
 @query
 def layers_end_to_end(spark, sf_dir):
-    """Two daily runs over all six feeds and four marts; the rows of every mart by day."""
+    """Two daily runs over all six feeds and four marts; every measure of every row of every mart."""
     root = new_folder(spark, "layers")
 
     def arrive(arrival):
         feed, rows = arrival
-        path = bronze_path(root, feed)
-        if landing_key(feed) == landing.WINDOW_KEY:
-            append_bronze(rows, path, feed)
-        else:
-            land(spark, rows, path, feed)
+        land(spark, rows, bronze_path(root, feed), feed)
 
     for first in (True, False):
         together(spark, arrive, arrivals(spark, sf_dir, first))
         refresh_layers(spark, root)
-    summaries = []
-    for mart in MARTS:
-        measure = SUMMARY[mart.table.name]
-        summaries.append(
-            read_table(spark, gold_path(root, mart))
-            .groupBy(F.lit(mart.table.name).alias("mart"), F.to_date(mart.table.time).alias("day"))
-            .agg(
-                F.count(F.lit(1)).alias("n_rows"),
-                F.min(measure).alias("smallest"),
-                F.max(measure).alias("largest"),
-            )
-        )
-    return reduce(DataFrame.unionByName, summaries)
+    return reduce(DataFrame.unionByName, [measures(spark, root, mart) for mart in MARTS])
+
+
+def measures(spark, root, mart):
+    """(mart, key, measure, value) of a Gold table, nulls left out."""
+    rows = read_table(spark, gold_path(root, mart)).drop(PERIOD, "ingestion_timestamp")
+    key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in sorted(mart.table.keys)])
+    kept = [c for c in rows.columns if c not in mart.table.keys]
+    values = [F.round(F.col(c).cast("double") * 65536.0).cast("bigint").cast("string").alias(c)
+              if c != "source_url" else F.col(c) for c in kept]
+    flat = rows.select(key.alias("key"), *values).unpivot("key", kept, "measure", "value")
+    return flat.where("value IS NOT NULL").select(F.lit(mart.table.name).alias("mart"), "key", "measure", "value")

@@ -3,6 +3,7 @@ from dataclasses import replace
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from voltlake.operators.conform import conform, stamp_processed
 from voltlake.operators.flatten import (
@@ -10,8 +11,9 @@ from voltlake.operators.flatten import (
     flatten_inferred,
     infer_payload_type,
     payload_fields,
-    unreadable,
+    rejected,
 )
+from voltlake.sources.bronze import append_bronze, scan_bronze
 from voltlake.sources.feeds import FREQUENCY, FUEL_MIX, NATIONAL_DEMAND, PSP, STATE_DEMAND
 
 AT = datetime(2024, 1, 2)
@@ -120,7 +122,7 @@ def test_empty_batch_has_the_silver_schema(spark):
 
 
 def test_payloads_that_are_not_json_are_reported(spark):
-    out = unreadable(bronze(spark, [R1], "not json", "[1,", None))
+    out = rejected(bronze(spark, [R1], "not json", "[1,", None), FREQUENCY)
     assert sorted(r.raw_response for r in out.collect()) == ["[1,", "not json"]
 
 
@@ -153,3 +155,58 @@ def test_undeclared_object(spark):
     out = flatten_inferred(bronze(spark, {"a": 1}, {"a": 2.5, "b": {"c": "x"}}))
     assert sorted((float(r.a), r.b and r.b.c) for r in out.collect()) == [(1.0, None), (2.5, "x")]
     assert "STRUCT" in infer_payload_type(bronze(spark, {"b": {"c": 1}})).simpleString().upper()
+
+
+@pytest.mark.parametrize("space", ["\n", "\t", " \r\n\t "])
+def test_white_space_before_a_list(spark, rows, space):
+    raw = bronze(spark, space + json.dumps([R1, R2], indent=1))
+    assert rows(flatten(raw, FREQUENCY), "timestamp", "frequency_hz", "region") == FLAT
+    assert rejected(raw, FREQUENCY).isEmpty()
+
+
+def test_payloads_of_any_length(spark, tmp_path):
+    """More text in one payload, and in one leaf of it, than the parser takes by default."""
+    many = json.dumps({"items": [{**R1, "region": "r" * 300}] * 80_000})
+    wide = json.dumps({"items": [{**R1, "region": "r" * 21_000_000}]})
+    assert len(many) > 25_000_000
+    for fmt in ("json", "parquet"):
+        raw = bronze(spark, many, wide)
+        append_bronze(raw.withColumns({c: F.lit("x") for c in ("from_timestamp", "to_timestamp")}).withColumn(
+            "hours", F.lit(48)), str(tmp_path / fmt), FREQUENCY, fmt)
+        read = scan_bronze(spark, str(tmp_path / fmt), FREQUENCY, fmt)
+        out = flatten(read, FREQUENCY).groupBy(F.length("region").alias("n")).count().collect()
+        assert sorted((r[0], r[1]) for r in out) == [(300, 80_000), (21_000_000, 1)]
+        assert rejected(read, FREQUENCY).isEmpty()
+
+
+def test_lost_lines_and_repeated_keys(spark, tmp_path):
+    good = {"source": "api", "dataset": "d", "raw_response": json.dumps([R1])}
+    twice = {**good, "raw_response": json.dumps(R1)[:-1] + ', "region": "South"}'}
+    lines = [json.dumps(good), json.dumps(twice), json.dumps(good)[:40]]
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "part.json").write_text("\n".join(lines))
+    read = scan_bronze(spark, str(tmp_path / "b"), FREQUENCY, "json")
+    assert [(r.reason, r.raw_response) for r in rejected(read, FREQUENCY).collect()] == [("line", lines[2])]
+    assert flatten(read, FREQUENCY).where("timestamp IS NOT NULL").count() == 2
+
+
+def test_broken_objects_are_rejected_as_a_whole(spark):
+    text = json.dumps({"items": [R1, R2]})[:-10]
+    raw = bronze(spark, text, "", "5")
+    assert flatten(raw, FREQUENCY).where("timestamp IS NOT NULL").isEmpty()
+    assert sorted(r.raw_response for r in rejected(raw, FREQUENCY).collect()) == ["", "5", text]
+
+
+def test_fields_named_like_types(spark, rows):
+    raw = bronze(spark, {"data": [{"AVOIDED_MW": 1.5, "VOID": None, "OBJECT": {"a b": 1}, "VOID_": {}}]})
+    out = flatten_inferred(raw)
+    assert rows(out.selectExpr("double(AVOIDED_MW)", "VOID", "OBJECT.`a b`"))[0] == (1.5, None, 1)
+    assert dict(out.dtypes)["VOID"] == "string"
+
+
+def test_undeclared_lists_and_objects_together(spark, rows):
+    raw = bronze(spark, [R1], {"data": [R2]})
+    kind = infer_payload_type(raw)
+    for out in (flatten_inferred(raw), flatten_inferred(raw, kind)):
+        got = out.selectExpr("timestamp", "string(round(double(frequency_hz), 2))", "region")
+        assert rows(got) == [("2024-01-01T00:00:00Z", "50.0", "North"), ("2024-01-01T00:04:00Z", "49.95", None)]

@@ -16,7 +16,7 @@ from voltlake.operators.landing import (
     missing_entities,
     request_window,
 )
-from voltlake.sources.bronze import append_bronze, bronze_schema, land, landing_key, scan_bronze
+from voltlake.sources.bronze import append_bronze, bronze_schema, could_hold, land, landing_key, scan_bronze
 from voltlake.sources.feeds import FEEDS, FREQUENCY, PSP, STATE_DEMAND, STATES, WEATHER
 
 NOW = datetime(2024, 1, 3, 4, 5, 6, 123456)
@@ -115,9 +115,9 @@ def test_bronze_landed_without_partitions_stays_readable(spark, tmp_path):
         "ingestion_timestamp", F.lit("2024-01-03T04:05:06.123Z")
     )
     old.write.mode("append").json(path)
-    land(spark, windowed(spark, FREQUENCY), path, FREQUENCY)
-    land(spark, windowed(spark, FREQUENCY, later), path, FREQUENCY)
-    out = scan_bronze(spark, path, FREQUENCY)
+    land(spark, windowed(spark, FREQUENCY), path, FREQUENCY, "json")
+    land(spark, windowed(spark, FREQUENCY, later), path, FREQUENCY, "json")
+    out = scan_bronze(spark, path, FREQUENCY, "json")
     assert sorted(r.ingestion_timestamp for r in out.collect()) == [
         datetime(2024, 1, 3, 4, 5, 6, 123000),
         later,
@@ -133,3 +133,32 @@ def test_worklist(spark, rows):
     assert len(STATES) == 36
     assert missing_entities(expected, have).count() == 34
     assert landed_entities(landed, "api", "weather", "x", "y").isEmpty()
+
+
+def test_landing_reads_keys_of_the_periods_it_must(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    for day in (1, 9, 20):
+        land(spark, windowed(spark, WEATHER, datetime(2024, 1, day)), path, WEATHER)
+    new = windowed(spark, WEATHER, datetime(2024, 1, 9), ("Goa", "Delhi"))
+    landed = could_hold(scan_bronze(spark, path, WEATHER), new, WEATHER)
+    out = land_new(new, landed, landing_key(WEATHER))
+    assert [r.state for r in out.collect()] == ["Delhi"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
+    assert "raw_response" not in scan and "ingest_period" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert {r[0].day for r in landed.select("ingest_period").distinct().collect()} == {9, 20}
+
+
+def test_windows_that_cannot_be_read_rule_out_nothing(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    odd = windowed(spark, WEATHER).withColumn("to_timestamp", F.lit("soon"))
+    for _ in range(2):
+        land(spark, odd.unionByName(windowed(spark, WEATHER, datetime(2024, 5, 1))), path, WEATHER)
+    assert scan_bronze(spark, path, WEATHER).count() == 2
+
+
+def test_files_do_not_grow_with_tasks(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    states = [f"s{k}" for k in range(200)]
+    append_bronze(windowed(spark, WEATHER, states=states).repartition(40), path, WEATHER)
+    assert len(list((tmp_path / "bronze").rglob("*.parquet"))) == 1

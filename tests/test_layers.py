@@ -13,10 +13,13 @@ from voltlake.operators.incremental import newer_than
 from voltlake.plans.layers import (
     MARTS,
     bronze_path,
+    days_path,
     gold_path,
+    late_days,
     refresh_gold,
     refresh_layers,
     refresh_silver,
+    rejects_path,
     silver_path,
 )
 from voltlake.plans.silver import observations
@@ -70,9 +73,11 @@ def test_refreshing_again_changes_nothing(spark, tmp_path):
     refresh_in_steps(spark, root, [])
     path = gold_path(root, DEMAND_MART)
     before = table_rows(spark, path, without=("_period",))
-    assert refresh_silver(spark, root, feeds.STATE_DEMAND) is False
-    refresh_gold(spark, root, DEMAND_MART)
-    assert table_rows(spark, path, without=("_period",)) == before
+    assert refresh_silver(spark, root, feeds.STATE_DEMAND, overlap_days=0) is False
+    for late in (False, True):
+        refresh_silver(spark, root, feeds.STATE_DEMAND)
+        refresh_gold(spark, root, DEMAND_MART, late=late)
+        assert table_rows(spark, path, without=("_period",)) == before
 
 
 def test_late_rows_need_the_late_refresh(spark, tmp_path):
@@ -140,6 +145,57 @@ def test_a_merge_that_was_cut_off_is_repaired(spark, tmp_path, noticed):
     assert not unfinished(spark, silver) and not unfinished(spark, gold)
 
 
+def arrive(spark, root, rows, feed=feeds.STATE_DEMAND, **options):
+    append_bronze(bronze(rows, feed), bronze_path(root, feed), feed)
+    refresh_silver(spark, root, feed, **options)
+
+
+def test_a_landing_that_ended_late_is_read(spark, tmp_path):
+    """A landing stamped before the newest merged one: the overlap of a day reads it, none does not."""
+    root, rows = str(tmp_path), view(spark, SF, "v_demand")
+    stamped = [rows.withColumn("ingestion_timestamp", F.lit(datetime(2024, 2, 3, h))) for h in (6, 5)]
+    arrive(spark, root, stamped[0].where("state <> 'NATION_3'"))
+    arrive(spark, root, stamped[1].where("state = 'NATION_3'"), overlap_days=0)
+    silver = silver_path(root, feeds.STATE_DEMAND)
+    missing = rows.where("state = 'NATION_3'").count()
+    assert missing and read_table(spark, silver).where("state = 'NATION_3'").isEmpty()
+    refresh_silver(spark, root, feeds.STATE_DEMAND)
+    assert read_table(spark, silver).where("state = 'NATION_3'").count() == missing
+
+
+def test_corrected_groups_leave_nothing_behind(spark, tmp_path):
+    root, rows = str(tmp_path), view(spark, SF, "v_demand").where("timestamp < '2024-01-04'")
+    for region, day in (("North", 5), ("West", 6)):
+        stamp = F.lit(datetime(2024, 2, day))
+        arrive(spark, root, rows.withColumns({"region": F.lit(region), "ingestion_timestamp": stamp}))
+        refresh_gold(spark, root, DEMAND_MART, late=True)
+        gold = read_table(spark, gold_path(root, DEMAND_MART))
+        assert {r[0] for r in gold.select("region").distinct().collect()} == {region}
+
+
+def test_days_that_match_nothing_are_not_redone(spark, tmp_path):
+    """An hour with weather but no demand gives no Gold row; it is computed once all the same."""
+    root, mart = str(tmp_path), MARTS[3]
+    arrive(spark, root, view(spark, SF, "v_demand").where("timestamp < '2024-01-05'"))
+    arrive(spark, root, view(spark, SF, "v_weather"), feeds.WEATHER)
+    refresh_gold(spark, root, mart)
+    inputs = [read_table(spark, silver_path(root, feed)) for feed in mart.feeds]
+    done = read_table(spark, days_path(root, mart))
+    assert done.where("_day > '2024-01-10'").count() > 0
+    assert all(rows.isEmpty() for rows in late_days(inputs, done, mart))
+
+
+def test_rejects_are_kept_once(spark, tmp_path):
+    root, rows = str(tmp_path), demand_payloads(spark).where("ingestion_timestamp < '2024-01-05'")
+    broken = rows.withColumn("raw_response", F.lit('{"state": "Goa", "poi'))
+    append_bronze(rows.union(broken), bronze_path(root, feeds.STATE_DEMAND), feeds.STATE_DEMAND)
+    for _ in range(2):
+        refresh_silver(spark, root, feeds.STATE_DEMAND, full=True)
+        rejects = read_table(spark, rejects_path(root, feeds.STATE_DEMAND))
+        assert rejects.count() == broken.select("ingestion_timestamp").distinct().count()
+        assert {r.reason for r in rejects.collect()} == {"payload"}
+
+
 def test_marts_wait_for_their_inputs(spark, tmp_path):
     assert [refresh_gold(spark, str(tmp_path), mart) for mart in MARTS] == [False] * 4
 

@@ -1,10 +1,13 @@
 import os
+import re
+from dataclasses import replace
 from datetime import date, datetime
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from voltlake.sources import tables
 from voltlake.sources.staging import new_folder, shared_dir, staged
 from voltlake.sources.tables import PERIOD, Table, merge_into, read_table
 
@@ -65,16 +68,62 @@ def test_months_as_partitions(spark, rows, tmp_path):
     assert {r[0] for r in out.select(PERIOD).distinct().collect()} == {date(2024, 1, 1)}
 
 
-def test_merge_prunes_the_partitions_it_reads(spark, tmp_path):
-    from voltlake.operators.incremental import on_dates_of
+def stored(spark, path):
+    return sorted(((r.k, r.v) for r in read_table(spark, path).select("k", "v").collect()), key=repr)
 
+
+@pytest.mark.parametrize("named", [tables.NAMED_PERIODS, 0])
+def test_merge_prunes_the_partitions_it_reads(spark, tmp_path, monkeypatch, named):
+    monkeypatch.setattr(tables, "NAMED_PERIODS", named)
     path = str(tmp_path / "t")
     merge_into(frame(spark, [("a", at(d), 1.0) for d in range(1, 20)]), path, TABLE)
     batch = frame(spark, [("a", at(2), 2.0)]).withColumn(PERIOD, F.to_date("timestamp"))
-    touched = on_dates_of(read_table(spark, path), PERIOD, batch, PERIOD)
-    plan = touched._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan.lower()
+    touched = tables.of_periods(read_table(spark, path), batch.select(PERIOD).distinct())
     assert touched.count() == 1
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*cast\(_period", plan) or named == 0
+
+
+@pytest.mark.parametrize("named", [tables.NAMED_PERIODS, 0])
+@pytest.mark.parametrize("time", [None, "-0044-03-15 12:00:00", "0000-01-01 00:00:00"])
+def test_no_stored_row_of_an_odd_period_is_lost(spark, tmp_path, monkeypatch, named, time):
+    monkeypatch.setattr(tables, "NAMED_PERIODS", named)
+    path = str(tmp_path / "t")
+    when = F.lit(time).cast("timestamp")
+    merge_into(frame(spark, [("a", at(1), 1.0)]).withColumn("timestamp", when), path, TABLE)
+    merge_into(frame(spark, [("b", at(1), 1.0)]), path, TABLE)
+    merge_into(frame(spark, [("c", at(1), 1.0)]).withColumn("timestamp", when), path, TABLE)
+    assert stored(spark, path) == [("a", 1.0), ("b", 1.0), ("c", 1.0)]
+
+
+def test_an_older_batch_does_not_age_a_row(spark, tmp_path):
+    newest = replace(TABLE, newest="ingestion_timestamp")
+    for table, kept in ((newest, 1.0), (TABLE, 2.0)):
+        path = str(tmp_path / f"t{kept}")
+        for value, day in ((1.0, 5), (2.0, 3)):
+            batch = frame(spark, [("a", at(1), value)]).withColumn("ingestion_timestamp", F.lit(at(day)))
+            merge_into(batch, path, table)
+        assert stored(spark, path) == [("a", kept)]
+
+
+def test_replaced_days_keep_only_the_batch(spark, tmp_path):
+    path, table = str(tmp_path / "t"), replace(TABLE, grain="month")
+    merge_into(frame(spark, [("a", at(1), 1.0), ("b", at(1), 1.0), ("a", at(2), 1.0)]), path, table)
+    days = spark.createDataFrame([(date(2024, 1, 1),), (date(2024, 1, 3),)], "d date")
+    merge_into(frame(spark, [("c", at(1), 2.0)]), path, table, replaced=days)
+    assert stored(spark, path) == [("a", 1.0), ("c", 2.0)]
+    assert merge_into(frame(spark, []), path, table, replaced=days) is False
+    assert stored(spark, path) == [("a", 1.0), ("c", 2.0)]
+
+
+def test_only_a_complete_batch_ends_what_was_cut_off(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merge_into(frame(spark, [("a", at(1), 1.0)]), path, TABLE)
+    (Path(path) / ".spark-staging-0").mkdir()
+    merge_into(frame(spark, [("b", at(1), 1.0)]), path, TABLE)
+    assert tables.unfinished(spark, path)
+    merge_into(frame(spark, [("b", at(1), 1.0)]), path, TABLE, complete=True)
+    assert not tables.unfinished(spark, path)
 
 
 def test_hot_period_is_written_by_several_tasks(spark, tmp_path):
@@ -110,6 +159,8 @@ def test_staged_rows_are_computed_once_and_removed(spark, rows):
 
 def test_scratch_folders_lie_in_the_shared_one(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    before = spark.sparkContext.getCheckpointDir()
     assert configured is None or shared_dir(spark) == configured
+    assert spark.sparkContext.getCheckpointDir() == before
     assert new_folder(spark, "x").startswith(shared_dir(spark))
     assert new_folder(spark, "x") != new_folder(spark, "x")

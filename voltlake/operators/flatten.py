@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltlake.sources.feeds import Feed
 
+# The request columns carried along, and the fields that hold a list of records.
 METADATA = ["dataset", "from_timestamp", "to_timestamp", "hours", "ingestion_timestamp"]
 LISTS = ("items", "data")
 
+#: Without it the parser refuses texts of more than 20 million characters.
+ANY_LENGTH = {"maxStringLen": str(2**31 - 1)}
+JSON_WHITE_SPACE = " \t\r\n"
+CORRUPT = "_corrupt"
+CORRUPT_LINE = "corrupt_line"
+PARSING = {**ANY_LENGTH, "columnNameOfCorruptRecord": CORRUPT}
+
 
 def carry_metadata(bronze: DataFrame) -> list[Column]:
     """Request metadata kept next to each record.
@@ -30,23 +42,28 @@ def parsed(raw: Column, record: T.StructType, shape: str) -> dict[str, Column]:
     :func:`record_list` can refer to them more than once without parsing again.
     """
     if shape == "array":
-        return {"_list": F.from_json(raw, T.ArrayType(record))}
+        return {"_list": F.from_json(raw, T.ArrayType(record), ANY_LENGTH)}
     if shape in LISTS:
-        return {"_object": F.from_json(raw, T.StructType().add(shape, T.ArrayType(record)))}
+        return {"_object": parsed_object(raw, T.StructType().add(shape, T.ArrayType(record)))}
     if shape == "object":
-        return {"_object": F.from_json(raw, record)}
+        return {"_object": parsed_object(raw, record)}
     if shape != "any":
         raise ValueError(f"Unsupported payload shape: {shape}")
-    is_list = F.ltrim(raw).startswith("[")
+    is_list = F.ltrim(raw, F.lit(JSON_WHITE_SPACE)).startswith("[")
     holder = T.StructType(list(record.fields))
     for name in LISTS:
         holder = holder.add(name, T.ArrayType(record))
     return {
-        "_list": F.when(is_list, F.from_json(raw, T.ArrayType(record))),
-        "_object": F.when(~is_list, F.from_json(raw, holder)),
+        "_list": F.when(is_list, F.from_json(raw, T.ArrayType(record), ANY_LENGTH)),
+        "_object": F.when(~is_list, parsed_object(raw, holder)),
     }
 
 
+def parsed_object(raw: Column, record: T.StructType) -> Column:
+    """A payload object; its ``CORRUPT`` field holds the text if it could not be read."""
+    return F.from_json(raw, T.StructType(list(record.fields)).add(CORRUPT, T.StringType()), PARSING)
+
+
 def record_list(record: T.StructType, shape: str) -> Column:
     """Records of a payload parsed by :func:`parsed`, as one array."""
     itself = F.array(F.struct(*[F.col(f"_object.{name}").alias(name) for name in record.names]))
@@ -63,16 +80,9 @@ def flatten(bronze: DataFrame, feed: Feed) -> DataFrame:
     """One row per observation: request metadata, then the payload fields of ``feed`` as text.
 
     Payloads without observations, and unreadable ones, give one row of nulls; ``conform`` drops it
-    and :func:`unreadable` reports it.
+    and :func:`rejected` reports the unreadable ones.
     """
-    _require_payload(bronze)
-    payloads = bronze.select(
-        *carry_metadata(bronze),
-        *[
-            column.alias(name)
-            for name, column in parsed(F.col("raw_response"), feed.record_type, feed.shape).items()
-        ],
-    )
+    payloads = with_parsed(bronze, feed).select(*carry_metadata(bronze), *parsed_names(feed))
     names = [c for c in payloads.columns if c not in ("_list", "_object")]
     records = payloads.select(
         *names, F.explode_outer(record_list(feed.record_type, feed.shape)).alias("_record")
@@ -84,11 +94,34 @@ def flatten(bronze: DataFrame, feed: Feed) -> DataFrame:
     return points.select(*names, *feed.outer_fields, "_point.*")
 
 
-def unreadable(bronze: DataFrame) -> DataFrame:
-    """Bronze rows whose payload is not JSON: kept for inspection, since flattening leaves them out."""
+def with_parsed(bronze: DataFrame, feed: Feed) -> DataFrame:
+    """Bronze rows with the columns of :func:`parsed`; an object that broke off is null as a whole."""
     _require_payload(bronze)
-    raw = F.col("raw_response")
-    return bronze.where(raw.isNotNull() & F.try_parse_json(raw).isNull())
+    rows = bronze.withColumns(parsed(F.col("raw_response"), feed.record_type, feed.shape))
+    if "_object" not in parsed_names(feed):
+        return rows
+    whole = F.when(F.col(f"_object.{CORRUPT}").isNull(), F.col("_object"))
+    return rows.withColumn("_object", whole)
+
+
+def parsed_names(feed: Feed) -> list[str]:
+    return list(parsed(F.lit(""), feed.record_type, feed.shape))
+
+
+def rejected(bronze: DataFrame, feed: Feed) -> DataFrame:
+    """Bronze rows that :func:`flatten` gets nothing from, by the same parse, and lines that are no rows.
+
+    ``raw_response`` is the payload, or the line as it was. ``reason`` is ``payload`` or ``line``.
+    """
+    line = F.col(CORRUPT_LINE) if CORRUPT_LINE in bronze.columns else F.lit(None).cast("string")
+    nothing = reduce(and_, [F.col(name).isNull() for name in parsed_names(feed)])
+    rows = with_parsed(bronze.withColumn("_line", line), feed)
+    return rows.where(F.col("_line").isNotNull() | (F.col("raw_response").isNotNull() & nothing)).select(
+        F.lit(feed.dataset).alias("dataset"),
+        "ingestion_timestamp",
+        F.coalesce("_line", "raw_response").alias("raw_response"),
+        F.when(F.col("_line").isNotNull(), "line").otherwise("payload").alias("reason"),
+    )
 
 
 def payload_fields(bronze: DataFrame, listing: str | None = None) -> DataFrame:
@@ -115,18 +148,59 @@ def payload_fields(bronze: DataFrame, listing: str | None = None) -> DataFrame:
 def infer_payload_type(bronze: DataFrame) -> T.DataType:
     """Payload type merged over every payload, for feeds nobody described yet.
 
-    Takes one type name, not data, to the driver.
+    Takes one type name, not data, to the driver. Lists and objects are merged apart and put together
+    only if one of the two kinds occurs; if both do, the payload is a :class:`Mixed` of the two.
     """
     _require_payload(bronze)
-    name = bronze.agg(F.schema_of_variant_agg(F.try_parse_json("raw_response"))).first()[0]
-    ddl = name.replace("OBJECT<>", "STRING").replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
-    return T.DataType.fromDDL(ddl)
+    value = F.try_parse_json("raw_response")
+    is_list = F.ltrim("raw_response", F.lit(JSON_WHITE_SPACE)).startswith("[")
+    lists, objects = bronze.agg(
+        F.schema_of_variant_agg(F.when(is_list, value)),
+        F.schema_of_variant_agg(F.when(~is_list, value)),
+    ).first()
+    kinds = [declared_type(name) for name in (lists, objects)]
+    found = [k for k in kinds if isinstance(k, T.ArrayType | T.StructType)]
+    if len(found) == 2:
+        return Mixed(*found)
+    if not found:
+        raise ValueError(f"Unsupported payload type: {objects}")
+    return found[0]
+
+
+class Mixed(T.StructType):
+    """Payloads of both kinds: a list of records, or an object."""
+
+    def __init__(self, records: T.ArrayType, single: T.StructType):
+        super().__init__([T.StructField("list", records), T.StructField("object", single)])
+
+
+# Type names of variants that are none of columns; field names, quoted or before a colon, are passed over.
+_TYPE_NAMES = re.compile(r"`(?:[^`]|``)*`|[\w$-]+(?=\s*:)|(?P<object>OBJECT(?=<))|(?P<void>\bVOID\b)")
 
 
-def flatten_inferred(bronze: DataFrame) -> DataFrame:
-    """Flatten payloads of an undeclared feed with the type found by :func:`infer_payload_type`."""
-    kind = infer_payload_type(bronze)
-    payload = F.from_json("raw_response", kind)
+def declared_type(name: str) -> T.DataType:
+    """The column type of a variant's type name; fields that were only ever null are text."""
+
+    def column(m: re.Match) -> str:
+        return "STRUCT" if m["object"] else "STRING" if m["void"] else m[0]
+
+    return T.DataType.fromDDL(_TYPE_NAMES.sub(column, name).replace("STRUCT<>", "STRING"))
+
+
+def flatten_inferred(bronze: DataFrame, kind: T.DataType | None = None) -> DataFrame:
+    """Flatten payloads of an undeclared feed with a stored type, or the one :func:`infer_payload_type` finds.
+
+    Finding it reads all payloads, so a feed that is read again should pass the type on.
+    """
+    kind = infer_payload_type(bronze) if kind is None else kind
+    if isinstance(kind, Mixed):
+        is_list = F.ltrim("raw_response", F.lit(JSON_WHITE_SPACE)).startswith("[")
+        parts = [
+            flatten_inferred(bronze.where(condition), part.dataType)
+            for condition, part in zip((is_list, ~is_list), kind.fields, strict=True)
+        ]
+        return parts[0].unionByName(parts[1], allowMissingColumns=True)
+    payload = F.from_json("raw_response", kind, ANY_LENGTH)
     if isinstance(kind, T.ArrayType):
         records = F.explode_outer(payload)
     elif isinstance(kind, T.StructType):

@@ -6,7 +6,7 @@ predicate on a partition column still prunes partitions when the query runs.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,28 +16,31 @@ from voltlake.functions import period_of
 from voltlake.sources.feeds import LOOKBACK_DAYS
 
 INGESTED = "ingestion_timestamp"
-FIRST_DAY = "0001-01-01"
-
-
-def first_day() -> Column:
-    """The earliest day Spark knows."""
-    return F.lit(FIRST_DAY).cast("date")
 
 
 def newer_than(
-    rows: DataFrame, target: DataFrame | None, period: str | None = None, grain: str = "day"
+    rows: DataFrame,
+    target: DataFrame | None,
+    period: str | None = None,
+    grain: str = "day",
+    overlap_days: int = 0,
 ) -> DataFrame:
-    """Rows ingested after everything in ``target``.
+    """Rows ingested after everything in ``target``, and rows without an ingest time.
 
     All rows if there is no target, it has no ingest time, or it is empty. ``period`` names the
-    partition column of ``rows`` if that is the ``grain`` of the ingest time.
+    partition column of ``rows`` if no row lies in an earlier one than the ``grain`` of its ingest time.
+    ``overlap_days`` goes back behind the mark by that much, for landings that end after a newer one was
+    merged: merging by newest ingest makes the repeated rows harmless.
     """
     if target is None or INGESTED not in target.columns:
         return rows
     mark = target.agg(F.max(F.col(INGESTED).cast("timestamp"))).scalar()
+    if overlap_days:
+        mark = mark - F.make_dt_interval(days=F.lit(overlap_days))
     if period is not None:
-        rows = rows.where(F.col(period) >= F.coalesce(period_of(mark, grain), first_day()))
-    return rows.where((F.col(INGESTED) > mark) | mark.isNull())
+        known = F.col(period)
+        rows = rows.where((known >= period_of(mark, grain)) | known.isNull() | mark.isNull())
+    return rows.where((F.col(INGESTED) > mark) | F.col(INGESTED).isNull() | mark.isNull())
 
 
 def rolling_window(
@@ -49,58 +52,63 @@ def rolling_window(
     period: str | None = None,
     grain: str = "day",
     margin: int = 0,
+    today: Column | None = None,
 ) -> DataFrame:
     """Whole event days from ``days`` before the last day in ``gold``; everything if it has none.
 
-    ``period`` names the partition column of ``silver`` if that is the ``grain`` of the event time,
-    ``margin`` the days by which ``day`` may run ahead of it, as local days do.
+    The last day counts as ``today`` (the current date) at most, so that an observation dated into the
+    future does not hide the days before it. ``period`` names the partition column of ``silver`` if that
+    is the ``grain`` of the event time, ``margin`` the days by which ``day`` may run ahead of it, as local
+    days do.
     """
     if gold is None:
         return silver
-    since = F.coalesce(F.date_sub(gold.agg(F.max(gold_day)).scalar(), days), first_day())
+    today = F.current_date() if today is None else today
+    last = gold.agg(F.max(gold_day)).scalar()
+    since = F.date_sub(F.when(last.isNotNull(), F.least(last, today)), days)
     if period is not None:
-        silver = silver.where(F.col(period) >= period_of(F.date_sub(since, margin), grain))
-    return silver.where(_column(day) >= since)
+        first = period_of(F.date_sub(since, margin), grain)
+        silver = silver.where((F.col(period) >= first) | since.isNull())
+    return silver.where((_column(day) >= since) | since.isNull())
 
 
-def changed_days(
-    silver: DataFrame, gold: DataFrame, day: Column | str, gold_day: Column | str = "date"
-) -> DataFrame:
-    """Event days (``_day``) that ``gold`` lacks or computed before their newest Silver row came in.
+def newest_by_day(silver: DataFrame, day: Column | str) -> DataFrame:
+    """``_day`` and ``_newest``: when the newest row of each event day came in."""
+    return silver.groupBy(_column(day).alias("_day")).agg(F.max(INGESTED).alias("_newest"))
 
-    Each day is held against its own Gold rows: a refresh of other days, which moves the newest ingest
-    time of the table, does not hide a row that came in late for this one.
+
+def changed_days(newest: DataFrame, done: DataFrame) -> DataFrame:
+    """Days (``_day``) of ``newest`` that ``done`` lacks or has with an older ``_newest``.
+
+    Both come from :func:`newest_by_day`. Days are held against themselves, feed by feed: neither the
+    refresh of other days nor a newer row of another feed hides a row that came in late.
     """
-    newest = silver.groupBy(_column(day).alias("_day")).agg(F.max(INGESTED).alias("_newest"))
-    done = gold.groupBy(_column(gold_day).alias("_day")).agg(F.min(INGESTED).alias("_done"))
-    late = F.col("_done").isNull() | (F.col("_newest") > F.col("_done"))
-    return newest.join(done, "_day", "left").where(late).select("_day")
+    then = done.select(F.col("_day").alias("_done_day"), F.col("_newest").alias("_done"))
+    joined = newest.join(then, F.col("_day").eqNullSafe(F.col("_done_day")), "left")
+    return joined.where(F.col("_done").isNull() | (F.col("_newest") > F.col("_done"))).select("_day")
 
 
-def touched_days(
-    silver: DataFrame,
-    gold: DataFrame | None,
-    day: Column | str,
-    gold_day: Column | str = "date",
-) -> DataFrame:
-    """All rows of the days with late or corrected rows, however old the day."""
-    if gold is None:
+def touched_days(silver: DataFrame, done: DataFrame | None, day: Column | str) -> DataFrame:
+    """All rows of the days with late or corrected rows since ``done``, however old the day."""
+    if done is None:
         return silver
-    return on_dates_of(silver, day, changed_days(silver, gold, day, gold_day), "_day")
+    return on_dates_of(silver, day, changed_days(newest_by_day(silver, day), done), "_day")
 
 
 def on_dates_of(
     rows: DataFrame, day: Column | str, other: DataFrame, other_day: Column | str
 ) -> DataFrame:
-    """Rows whose date ``day`` occurs in ``other``.
+    """Rows whose date ``day`` occurs in ``other``; null is a date like any other.
 
-    The distinct dates are broadcast: Spark's calendar (years 1 to 9999) holds under 3.7 million, so
-    their size is bounded whatever the data. Comparing the date on the broadcast side is what lets
-    Spark plan dynamic partition pruning.
+    Dates are compared as text, with nothing for null, because only a plain equality lets Spark prune
+    partitions while the query runs. Spark broadcasts the distinct dates if they are few.
     """
-    dates = other.select(_column(other_day).cast("date").alias("_on"))
-    dates = dates.where(F.col("_on") >= first_day()).distinct()
-    return rows.join(F.broadcast(dates), _column(day) == F.col("_on"), "left_semi")
+    dates = other.select(date_text(_column(other_day)).alias("_on")).distinct()
+    return rows.join(dates, date_text(_column(day)) == F.col("_on"), "left_semi")
+
+
+def date_text(day: Column) -> Column:
+    return F.coalesce(day.cast("date").cast("string"), F.lit(""))
 
 
 def select_rows(
@@ -120,8 +128,7 @@ def input_gate(rows: DataFrame, *inputs: DataFrame) -> DataFrame:
 
 def newest_ingest(*inputs: DataFrame) -> Column:
     """Newest ingest time over the inputs, as a column for the rows derived from them."""
-    marks = [i.agg(F.max(F.col(INGESTED).cast("timestamp"))).scalar() for i in inputs]
-    return marks[0] if len(marks) == 1 else F.greatest(*marks)
+    return _latest([i.agg(F.max(F.col(INGESTED).cast("timestamp"))).scalar() for i in inputs])
 
 
 def stamp_lineage(rows: DataFrame, *inputs: DataFrame) -> DataFrame:
@@ -129,5 +136,25 @@ def stamp_lineage(rows: DataFrame, *inputs: DataFrame) -> DataFrame:
     return rows.withColumn(INGESTED, newest_ingest(*inputs))
 
 
+def stamp_from_rollups(rows: DataFrame, rollups: Sequence[DataFrame], names: Sequence[str]) -> DataFrame:
+    """As :func:`stamp_lineage` and :func:`input_gate`, from the rollups that ``rows`` are made of.
+
+    ``names`` are the columns of ``rows`` with the stamps of the rollups (the first column of each). The
+    largest whole row of a rollup, stamp first, tells both the newest stamp and whether there is a row. It
+    needs every column that ``rows`` needs, so Spark plans the same exchange for it and computes the
+    rollup, and reads its input, once.
+    """
+    largest = [r.agg(F.max(F.struct(*[F.col(f"`{c}`") for c in r.columns]))).scalar() for r in rollups]
+    stamps = [m.getField(r.columns[0]) for m, r in zip(largest, rollups, strict=True)]
+    # A filter without columns would be moved into the rollups and make them differ; hence the stamp.
+    lacking = F.greatest(*[m.isNull().cast("long") for m in largest], 0 * F.unix_micros(F.col(names[0])))
+    # The stamps of the row itself add nothing but the use of their columns.
+    return rows.where(lacking == 0).withColumn(INGESTED, _latest([*stamps, *map(F.col, names)]))
+
+
+def _latest(marks: list[Column]) -> Column:
+    return marks[0] if len(marks) == 1 else F.greatest(*marks)
+
+
 def _column(day: Column | str) -> Column:
     return F.col(day) if isinstance(day, str) else day

@@ -47,6 +47,14 @@ ADEQUACY_MEASURES = (
 )
 
 
+#: Newest ingest time of the rows of a group, if a rollup is ``stamped``.
+NEWEST = "_newest"
+
+
+def newest(stamped: bool, column: str = "ingestion_timestamp") -> list[Column]:
+    return [F.max(F.col(column).cast("timestamp")).alias(NEWEST)] if stamped else []
+
+
 def day_column(tz: str | None = None) -> Column:
     return local_day(F.col("timestamp"), tz).alias("date")
 
@@ -65,7 +73,7 @@ def provenance_counts() -> list[Column]:
     ]
 
 
-def state_demand_daily(demand: DataFrame, tz: str | None = None) -> DataFrame:
+def state_demand_daily(demand: DataFrame, tz: str | None = None, stamped: bool = False) -> DataFrame:
     """Demand, frequency, provenance and capacity by state, region and day."""
     mw = F.col("demand_mw")
     return demand.groupBy("state", "region", day_column(tz)).agg(
@@ -78,32 +86,35 @@ def state_demand_daily(demand: DataFrame, tz: str | None = None) -> DataFrame:
         F.max("installed_in_state_mw").alias("installed_in_state_mw"),
         F.max("allocated_share_mw").alias("allocated_share_mw"),
         F.max("rolling_peak_24mo_mw").alias("rolling_peak_24mo_mw"),
+        *newest(stamped),
     )
 
 
-def national_demand_daily(demand: DataFrame, tz: str | None = None) -> DataFrame:
+def national_demand_daily(demand: DataFrame, tz: str | None = None, stamped: bool = False) -> DataFrame:
     """National demand by day, all sources together."""
     return demand.groupBy(day_column(tz)).agg(
         F.avg("demand_mw").alias("avg_national_demand_mw"),
         F.max("demand_mw").alias("peak_national_demand_mw"),
         F.min("demand_mw").alias("min_national_demand_mw"),
         F.count(F.lit(1)).alias("demand_observations"),
+        *newest(stamped),
     )
 
 
-def frequency_daily(frequency: DataFrame, tz: str | None = None) -> DataFrame:
+def frequency_daily(frequency: DataFrame, tz: str | None = None, stamped: bool = False) -> DataFrame:
     """Grid frequency by day, all regions together."""
     return frequency.groupBy(day_column(tz)).agg(
         F.avg("frequency_hz").alias("avg_frequency_hz"),
         F.min("frequency_hz").alias("min_frequency_hz"),
         F.max("frequency_hz").alias("max_frequency_hz"),
         F.count(F.lit(1)).alias("frequency_observations"),
+        *newest(stamped),
     )
 
 
-def fuel_daily(fuelmix: DataFrame, tz: str | None = None) -> DataFrame:
+def fuel_daily(fuelmix: DataFrame, tz: str | None = None, stamped: bool = False) -> DataFrame:
     """Average generation by day and fuel."""
-    return fuelmix.groupBy(day_column(tz), "fuel").agg(F.avg("mw").alias("avg_mw"))
+    return fuelmix.groupBy(day_column(tz), "fuel").agg(F.avg("mw").alias("avg_mw"), *newest(stamped))
 
 
 def fuel_total(daily: DataFrame) -> DataFrame:
@@ -118,10 +129,11 @@ def fuel_pivot(daily: DataFrame, fuels: Sequence[str] = FUELS) -> DataFrame:
 
 def fuel_mix_daily(daily: DataFrame, fuels: Sequence[str] = FUELS) -> DataFrame:
     """Pivot and total in one pass: conditional aggregates need no second scan and no join."""
-    return daily.groupBy("date").agg(*_per_fuel(fuels), _total())
+    stamp = newest(NEWEST in daily.columns, NEWEST)
+    return daily.groupBy("date").agg(*_per_fuel(fuels), _total(), *stamp)
 
 
-def adequacy_daily(psp: DataFrame) -> DataFrame:
+def adequacy_daily(psp: DataFrame, stamped: bool = False) -> DataFrame:
     """Largest value of each measure by day, region and state, with the first source URL by name.
 
     The URL is text, and one text aggregate turns the whole rollup into a sort of its input. So the
@@ -129,24 +141,27 @@ def adequacy_daily(psp: DataFrame) -> DataFrame:
     """
     measures = [F.max(name).alias(name) for name in ADEQUACY_MEASURES]
     keys = ["date", "region", "state"]
-    per_url = psp.groupBy(*keys, "source_url").agg(*measures)
-    return per_url.groupBy(*keys).agg(*measures, F.min("source_url").alias("source_url"))
+    per_url = psp.groupBy(*keys, "source_url").agg(*measures, *newest(stamped))
+    return per_url.groupBy(*keys).agg(
+        *measures, F.min("source_url").alias("source_url"), *newest(stamped, NEWEST)
+    )
 
 
-def demand_hourly(demand: DataFrame, tz: str | None = None) -> DataFrame:
+def demand_hourly(demand: DataFrame, tz: str | None = None, stamped: bool = False) -> DataFrame:
     """Demand by normalized state and hour."""
     return demand.groupBy(state_key(), hour_column(tz)).agg(
         F.avg("demand_mw").alias("avg_demand_mw"),
         F.max("demand_mw").alias("peak_demand_mw"),
         F.min("demand_mw").alias("min_demand_mw"),
         F.count(F.lit(1)).alias("demand_observations"),
+        *newest(stamped),
     )
 
 
-def weather_hourly(weather: DataFrame, tz: str | None = None) -> DataFrame:
+def weather_hourly(weather: DataFrame, tz: str | None = None, stamped: bool = False) -> DataFrame:
     """Weather averages by normalized state and hour."""
     return weather.groupBy(state_key(), hour_column(tz)).agg(
-        *[F.avg(name).alias(name) for name in WEATHER_MEASURES]
+        *[F.avg(name).alias(name) for name in WEATHER_MEASURES], *newest(stamped)
     )
 
 

@@ -19,19 +19,25 @@ SETTINGS = {
 MIB = 2**20
 
 
-def sized_for(data_bytes: int) -> dict[str, str]:
+def sized_for(
+    data_bytes: int,
+    partition_bytes: int = 512 * MIB,
+    least_partitions: int = 200,
+    most_partitions: int = 100_000,
+    split_bytes: int = 128 * MIB,
+) -> dict[str, str]:
     """Settings for the data a run shuffles at most.
 
     AQE merges shuffle partitions that turn out small but makes no further ones, so a run has to start
-    with enough of them: half a GiB each, up to the 100,000 a driver tracks comfortably, beyond which
-    they grow and spill. Scan splits grow with the data so that tasks stay well above start-up cost.
+    with enough of them: one for each ``partition_bytes``. Beyond ``most_partitions``, what a driver
+    tracks comfortably, they hold more each (100 TiB: 1 GiB) and spill sooner; with a larger driver,
+    raise it. ``split_bytes`` is the size of scan tasks and of merged shuffle partitions.
     """
-    partitions = min(max(data_bytes // (512 * MIB), 200), 100_000)
-    split = 128 * MIB if data_bytes < 2**40 else 256 * MIB
+    partitions = min(max(data_bytes // partition_bytes, least_partitions), most_partitions)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(split),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(split_bytes),
     }
 
 

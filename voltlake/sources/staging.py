@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,18 +15,25 @@ from pyspark.sql import DataFrame, SparkSession
 from voltlake.sources.files import delete
 
 
+@cache
+def own_folder() -> str:
+    """A folder of this process, removed with it: enough for local mode, where all tasks run in it."""
+    folder = tempfile.mkdtemp(prefix="voltlake-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor reaches: ``spark.checkpoint.dir``.
+    """Folder every executor reaches: ``spark.checkpoint.dir``, which a cluster has to set.
 
-    A temporary folder stands in only for an unset one in local mode, as in tests.
+    The session's settings are read, never changed.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError("Set spark.checkpoint.dir to a folder shared by the cluster")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="voltlake-"))
-    return spark.sparkContext.getCheckpointDir()
+    return own_folder()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

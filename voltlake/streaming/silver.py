@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from voltlake.operators.flatten import rejected
 from voltlake.plans.silver import silver_batch
-from voltlake.sources.bronze import bronze_schema
+from voltlake.sources.bronze import FORMAT, reading
 from voltlake.sources.feeds import Feed
-from voltlake.sources.tables import merge_into, silver_table
+from voltlake.sources.tables import merge_into, rejects_table, silver_table
 
 
 def follow_bronze(
@@ -17,19 +18,27 @@ def follow_bronze(
     silver_path: str,
     feed: Feed,
     checkpoint: str,
-    fmt: str = "json",
+    fmt: str = FORMAT,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
     """Merge every Bronze file not merged yet, then stop.
 
-    Merging replaces rows by key, so a micro-batch replayed after a failure changes nothing.
+    Merging keeps the newest row of a key, so neither the order of files nor a micro-batch replayed
+    after a failure matters. With ``rejects_path``, what cannot be read goes there.
     """
+    schema, options = reading(feed, fmt)
+
+    def merge(batch: DataFrame, _: int) -> None:
+        if rejects_path is not None:
+            merge_into(rejected(batch, feed).distinct(), rejects_path, rejects_table(feed))
+        merge_into(silver_batch(batch, feed), silver_path, silver_table(feed))
+
     return (
-        spark.readStream.schema(bronze_schema(feed))
+        spark.readStream.schema(schema)
+        .options(**options)
         .format(fmt)
         .load(bronze_path)
-        .writeStream.foreachBatch(
-            lambda batch, _: merge_into(silver_batch(batch, feed), silver_path, silver_table(feed))
-        )
+        .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
