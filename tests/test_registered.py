@@ -9,7 +9,20 @@ from checks.compare import connect, difference
 from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-WRITES = {"bronze_scan", "upsert_bootstrap", "upsert_merge", "silver_stream", "layers_end_to_end"}
+WRITES = {
+    "bronze_scan",
+    "land_window_dedup",
+    "land_entity_dedup",
+    "land_hash_dedup",
+    "rejected_payloads",
+    "upsert_bootstrap",
+    "upsert_empty_batch",
+    "upsert_merge",
+    "upsert_out_of_order",
+    "corrected_group_rebuild",
+    "silver_stream",
+    "layers_end_to_end",
+}
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +53,26 @@ def test_plan_has_no_cross_join_or_python(spark, name):
         assert bad not in plan
 
 
+@pytest.mark.parametrize(
+    "name, most", [("state_demand_mart", 3), ("adequacy_mart", 4), ("weather_demand_mart", 5), ("national_grid_mart", 5)]
+)
+def test_marts_read_their_inputs_once(spark, name, most):
+    """Scans that return rows; the other ones are replaced by what an equal exchange has computed."""
+    QUERIES[name](spark, SF).collect()
+    store = spark._jsparkSession.sharedState().statusStore()
+    runs = store.executionsList()
+    run = runs.apply(runs.size() - 1).executionId()
+    values, scans = store.executionMetrics(run), 0
+    nodes = store.planGraph(run).allNodes()
+    for k in range(nodes.size()):
+        node = nodes.apply(k)
+        metrics = [node.metrics().apply(m) for m in range(node.metrics().size())]
+        found = [m.accumulatorId() for m in metrics if m.name() == "number of output rows"]
+        if node.name().startswith("Scan parquet"):
+            scans += any(values.contains(i) and values.apply(i).split("\n")[-1] not in ("0", "") for i in found)
+    assert 0 < scans <= most
+
+
 def test_library_collects_nothing():
     import voltlake.operators.incremental as incremental
     import voltlake.operators.landing as landing
