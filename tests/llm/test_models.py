@@ -79,6 +79,9 @@ def test_slices_do_not_change_code_lengths(monkeypatch):
     whole = trees.code_lengths(text)
     monkeypatch.setattr(language, "SLICE", 7)
     assert trees.code_lengths(text) == pytest.approx(whole)
+    monkeypatch.setattr(language, "TABLE_CELLS", 0)
+    searched = language.ContextTrees({"en": {gram: 3, gram + 1: 1}})
+    assert searched.table is None and searched.code_lengths(text) == pytest.approx(whole)
 
 
 def test_language_of_awkward_rows(awkward, nothing):

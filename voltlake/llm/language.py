@@ -7,7 +7,7 @@ escape to the next shorter context q / (n + q) (method C). Below the empty conte
 A text's language is the one with the shortest code.
 
 The trees of all languages are kept as sorted arrays. Every n-gram of the sample has its code lengths
-computed beforehand, so a known byte costs one search; the others walk down the contexts.
+computed beforehand, so a known byte costs one lookup; the others walk down the contexts.
 """
 
 from __future__ import annotations
@@ -35,7 +35,9 @@ FOLDS, HELD_OUT = 3, 1
 
 LETTER = re.compile(r"[^\W\d_]")
 PAD = b"\n" * ORDER
-SLICE = 1 << 20
+SLICE = 1 << 17
+#: Largest index table, 64 MB.
+TABLE_CELLS = 1 << 24
 
 
 def fold() -> Column:
@@ -61,7 +63,27 @@ class ContextTrees:
             np.array(list(c), dtype=np.int64) for c in counts.values()
         )]))
         self.known = known.astype(np.uint32)
-        self.known_bits = self._walk(known).astype(np.float32)
+        self.known_bits = np.concatenate([np.zeros((1, len(self.languages))), self._walk(known)])
+        self._index()
+
+    def _index(self) -> None:
+        """Row of ``known_bits`` for two pairs of bytes, by their ranks among the pairs that occur.
+
+        Row 0 is for n-grams that are not known. With more pairs than TABLE_CELLS allows, which only many
+        scripts together have, rows are searched instead.
+        """
+        first, second = self.known >> 16, self.known & 0xFFFF
+        self.ranks = [np.zeros(1 << 16, dtype=np.int64) for _ in range(2)]
+        for ranks, pairs in zip(self.ranks, (first, second), strict=True):
+            used = np.unique(pairs)
+            ranks[used] = np.arange(1, len(used) + 1)
+        self.wide = int(self.ranks[1].max()) + 1
+        cells = (int(self.ranks[0].max()) + 1) * self.wide
+        self.table = None
+        if cells <= TABLE_CELLS:
+            self.table = np.zeros(cells, dtype=np.int32)
+            at = self.ranks[0][first] * self.wide + self.ranks[1][second]
+            self.table[at] = np.arange(1, len(self.known) + 1)
 
     def _walk(self, grams: np.ndarray) -> np.ndarray:
         """Code length of the last byte of each n-gram in each language."""
@@ -91,21 +113,27 @@ class ContextTrees:
         return total
 
     def _slice_bits(self, padded: bytes) -> np.ndarray:
-        data = np.frombuffer(padded, dtype=np.uint8).astype(np.uint32)
-        size = len(data) - ORDER
-        grams = data[:size]
-        for k in range(1, ORDER + 1):
-            grams = grams << np.uint32(8) | data[k : k + size]
-        at = np.minimum(np.searchsorted(self.known, grams), max(len(self.known) - 1, 0))
-        found = self.known[at] == grams
-        hits = np.bincount(at[found], minlength=len(self.known))
-        used = np.flatnonzero(hits)
-        total = hits[used] @ self.known_bits[used].astype(np.float64)
-        if not found.all():
-            other, times = np.unique(grams[~found], return_counts=True)
-            total = total + times @ self._walk(other.astype(np.int64))
+        data = np.frombuffer(padded, dtype=np.uint8).astype(np.uint16)
+        pairs = data[:-1] << np.uint16(8) | data[1:]
+        first, second = pairs[:-2], pairs[2:]
+        rows = self._rows(first, second)
+        total = np.ones(len(rows)) @ self.known_bits[rows]
+        missing = rows == 0
+        if missing.any():
+            grams = first[missing].astype(np.int64) << 16 | second[missing]
+            other, times = np.unique(grams, return_counts=True)
+            total = total + times @ self._walk(other)
         return total
 
+    def _rows(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        if self.table is not None:
+            return self.table[self.ranks[0][first] * self.wide + self.ranks[1][second]]
+        if not len(self.known):
+            return np.zeros(len(first), dtype=np.int64)
+        grams = first.astype(np.uint32) << np.uint32(16) | second
+        at = np.minimum(np.searchsorted(self.known, grams), len(self.known) - 1)
+        return np.where(self.known[at] == grams, at + 1, 0)
+
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """Language, its share of the probability (0 to 1), and the bits for each byte."""
         if not text or not LETTER.search(text) or not self.languages:
