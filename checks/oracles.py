@@ -247,9 +247,17 @@ ORACLES: dict[str, str] = {
         , payload AS (SELECT to_json(v) AS j FROM v_psp v),
         parts AS (SELECT unnest(json_keys(j)) AS field, j FROM payload)
         SELECT field, CASE WHEN bool_or(json_type(j, field) = 'VARCHAR') THEN 'text'
-          WHEN bool_or(json_type(j, field) = 'BOOLEAN') THEN 'flag' ELSE 'number' END AS kind
+          WHEN bool_or(json_type(j, field) = 'BOOLEAN') THEN 'flag'
+          WHEN bool_or(TRY_CAST(j ->> field AS DOUBLE) <> floor(TRY_CAST(j ->> field AS DOUBLE)))
+          THEN 'fraction' ELSE 'whole' END AS kind
         FROM parts WHERE field <> 'ingestion_timestamp' GROUP BY field""",
     ),
+    "shape_errors": with_views(
+        "v_frequency",
+        then="""SELECT 'table' AS shape, 'Unsupported payload shape: table' AS message, count(*) AS n_rows
+          FROM v_frequency
+          UNION ALL SELECT 'none', 'Bronze rows have no raw_response column', count(*) FROM v_frequency""",
+    ),
     "flatten_array": frequency_records(),
     "flatten_data": frequency_records(),
     "flatten_undeclared": frequency_records(),

@@ -190,11 +190,35 @@ def missing_entities(spark, sf_dir):
 def infer_payload_schema(spark, sf_dir):
     rows = bronze_by_content(view(spark, sf_dir, "v_psp"), feeds.PSP)
     kind = (
-        F.when(F.col("type") == "STRING", "text").when(F.col("type") == "BOOLEAN", "flag").otherwise("number")
+        F.when(F.col("type") == "STRING", "text")
+        .when(F.col("type") == "BOOLEAN", "flag")
+        .when(F.col("type").rlike(r"^(BIGINT|DECIMAL\(\d+,0\))$"), "whole")
+        .when(F.col("type").rlike(r"^(DECIMAL\(\d+,\d+\)|DOUBLE|FLOAT)$"), "fraction")
+        .otherwise(F.col("type"))
     )
     return payload_fields(rows, "items").select("field", kind.alias("kind"))
 
 
+@query
+def shape_errors(spark, sf_dir):
+    """What is said about payloads without a column or of an unknown shape, next to the rows it concerns."""
+    rows = view(spark, sf_dir, "v_frequency")
+    broken = {
+        "table": (bronze(rows, feeds.FREQUENCY, "array"), replace(feeds.FREQUENCY, shape="table")),
+        "none": (rows, feeds.FREQUENCY),
+    }
+    found = []
+    for name, (payloads, feed) in broken.items():
+        try:
+            flatten(payloads, feed)
+            message = None
+        except ValueError as error:
+            message = str(error)
+        counts = payloads.agg(F.count(F.lit(1)).alias("n_rows"))
+        found.append(counts.select(F.lit(name).alias("shape"), F.lit(message).alias("message"), "n_rows"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def frequency_records(spark, sf_dir, shape):
     rows = bronze(view(spark, sf_dir, "v_frequency"), feeds.FREQUENCY, shape)
     return flatten(rows, feeds.FREQUENCY).select(
