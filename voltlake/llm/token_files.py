@@ -148,10 +148,11 @@ def read_code(spark: SparkSession, folder: str) -> np.ndarray:
     return lengths
 
 
-def read_parts(spark: SparkSession, folder: str) -> DataFrame:
+def read_parts(spark: SparkSession, folder: str, which: str = "true") -> DataFrame:
     """Documents, or their parts, as they lie in the blocks: PART_FIELDS.
 
     ``doc`` is the block a document starts in, ``part`` of ``parts`` its blocks, ``start`` in its file.
+    Only blocks that meet the condition ``which`` are decoded.
     """
     lengths = read_code(spark, folder)
 
@@ -180,7 +181,8 @@ def read_parts(spark: SparkSession, folder: str) -> DataFrame:
                 )
 
     names = [*RAW_NAMES[:7], "checkpoints", "bits"]
-    return spark.read.parquet(f"{folder}/blocks").select(*names).mapInArrow(decode, PART_FIELDS)
+    blocks = spark.read.parquet(f"{folder}/blocks").where(which)
+    return blocks.select(*names).mapInArrow(decode, PART_FIELDS)
 
 
 PART_FIELDS = "file int, doc int, part int, parts int, start bigint, doc_id bigint, ids binary"
@@ -197,7 +199,6 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     # One row for each file, of which there are as many as shuffle partitions.
     offsets = totals.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    parts = read_parts(spark, folder)
 
     def gather(table: pa.Table) -> pa.Table:
         table = table.sort_by("part")
@@ -205,10 +206,10 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
         first = table.slice(0, 1).drop_columns(["doc", "part", "parts", "ids"])
         return first.append_column("ids", pa.array([ids], pa.binary()))
 
-    long = parts.where("parts > 1").groupBy("file", "doc").applyInArrow(
+    long = read_parts(spark, folder, "parts > 1").groupBy("file", "doc").applyInArrow(
         gather, "file int, start bigint, doc_id bigint, ids binary"
     )
-    whole = parts.where("parts = 1").select("file", "start", "doc_id", "ids").unionByName(long)
+    whole = read_parts(spark, folder, "parts = 1").select("file", "start", "doc_id", "ids").unionByName(long)
     return whole.join(F.broadcast(offsets), "file").select(
         "doc_id", (F.col("offset") + F.col("start")).alias("start"), "ids"
     )
