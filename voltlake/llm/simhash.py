@@ -88,6 +88,8 @@ def similar_pairs_forest(
     prefix = F.shiftrightunsigned("fp", shift)
     # At most 2**MOST_DEPTH rows, whatever the data.
     counts = {r[0]: r[1] for r in prints.groupBy(prefix.alias("p")).agg(F.count("*")).collect()}
+    # Block numbers have 15 bits; beyond that, blocks are larger.
+    node = max(node, -(-max(counts.values(), default=0) // 0x7FFF))
     blocks = np.zeros(1 << depth, dtype=np.int64)
     for p, n in counts.items():
         blocks[p] = -(-n // node)
