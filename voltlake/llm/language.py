@@ -27,6 +27,8 @@ from voltlake.llm.common import fresh, steps
 ORDER = 3
 #: Labelled rows of each language that the trees are counted over.
 SAMPLE_ROWS = 400
+#: More different labels than this are an error, since the sample grows with them.
+MOST_LANGUAGES = 1000
 #: A text that costs more bits for each byte than this in every language is in none of them. Prose takes
 #: 2 to 3, short texts full of numbers and capitals up to 8, a script that was never seen about 20.
 MOST_BITS = 12.0
@@ -104,26 +106,33 @@ class ContextTrees:
             bits[:, column] = total
         return bits
 
-    def code_lengths(self, text: bytes) -> np.ndarray:
-        """Bits of a text in each language."""
-        total = np.zeros(len(self.languages))
-        for start in range(0, len(text), SLICE):
-            before = (PAD + text[max(0, start - ORDER) : start])[-ORDER:]
-            total += self._slice_bits(before + text[start : start + SLICE])
+    def code_lengths(self, texts: list[bytes]) -> np.ndarray:
+        """Bits of each text in each language. Unknown n-grams of all texts are walked down together."""
+        total = np.zeros((len(texts), len(self.languages)))
+        owners, grams, times = [], [], []
+        for k, text in enumerate(texts):
+            for start in range(0, len(text), SLICE):
+                before = (PAD + text[max(0, start - ORDER) : start])[-ORDER:]
+                bits, other, n = self._slice_bits(before + text[start : start + SLICE])
+                total[k] += bits
+                owners.append(np.full(len(other), k))
+                grams.append(other)
+                times.append(n)
+        if any(map(len, grams)):
+            distinct, at = np.unique(np.concatenate(grams), return_inverse=True)
+            bits = self._walk(distinct)[at] * np.concatenate(times)[:, None]
+            np.add.at(total, np.concatenate(owners), bits)
         return total
 
-    def _slice_bits(self, padded: bytes) -> np.ndarray:
+    def _slice_bits(self, padded: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bits of the known n-grams; the other ones and how often they occur."""
         data = np.frombuffer(padded, dtype=np.uint8).astype(np.uint16)
         pairs = data[:-1] << np.uint16(8) | data[1:]
         first, second = pairs[:-2], pairs[2:]
         rows = self._rows(first, second)
-        total = np.ones(len(rows)) @ self.known_bits[rows]
-        missing = rows == 0
-        if missing.any():
-            grams = first[missing].astype(np.int64) << 16 | second[missing]
-            other, times = np.unique(grams, return_counts=True)
-            total = total + times @ self._walk(other)
-        return total
+        missing = np.flatnonzero(rows == 0)
+        grams = first[missing].astype(np.int64) << 16 | second[missing]
+        return np.ones(len(rows)) @ self.known_bits[rows], *np.unique(grams, return_counts=True)
 
     def _rows(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         if self.table is not None:
@@ -134,15 +143,16 @@ class ContextTrees:
         at = np.minimum(np.searchsorted(self.known, grams), len(self.known) - 1)
         return np.where(self.known[at] == grams, at + 1, 0)
 
-    def predict(self, text: str | None) -> tuple[str, float, float]:
-        """Language, its share of the probability (0 to 1), and the bits for each byte."""
-        if not text or not LETTER.search(text) or not self.languages:
-            return UNDETERMINED, 0.0, 0.0
-        data = text.encode()
-        bits = self.code_lengths(data)
-        best = int(np.argmin(bits))
-        share = 1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum()
-        return self.languages[best], float(share), float(bits[best] / len(data))
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
+        """Language, its share of the probability (0 to 1), and the bits for each byte, of each text."""
+        found = [(UNDETERMINED, 0.0, 0.0)] * len(texts)
+        judged = [k for k, text in enumerate(texts) if self.languages and text and LETTER.search(text)]
+        data = [texts[k].encode() for k in judged]
+        for k, own, bits in zip(judged, data, self.code_lengths(data), strict=True):
+            best = int(np.argmin(bits))
+            share = 1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum()
+            found[k] = (self.languages[best], float(share), float(bits[best] / len(own)))
+        return found
 
 
 def _level(grams: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -177,8 +187,11 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> ContextTrees:
         .withColumn("nth", F.row_number().over(order))
         .where(F.col("nth") <= sample_rows)
         .select("doc_id")
+        .limit(MOST_LANGUAGES * sample_rows + 1)
         .collect()
     )
+    if len(chosen) > MOST_LANGUAGES * sample_rows:
+        raise ValueError(f"More than {MOST_LANGUAGES} languages")
     ids = sorted({r["doc_id"] for r in chosen if r["doc_id"] is not None})
     sample = docs.where(usable & F.col("doc_id").isin(ids)).select("lang", "text")
 
@@ -215,7 +228,7 @@ def identify(docs: DataFrame, trees: ContextTrees) -> DataFrame:
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in steps(batches, at):
-            found = [model.predict(text) for text in batch.column(at).to_pylist()]
+            found = model.predict(batch.column(at).to_pylist())
             columns = [pa.array([f[k] for f in found], t) for k, t in enumerate((pa.string(), pa.float64(), pa.float64()))]
             yield pa.record_batch([*batch.columns, *columns], [*batch.schema.names, *names])
 
