@@ -85,6 +85,11 @@ def test_slices_do_not_change_code_lengths(monkeypatch):
     assert searched.table is None and searched.code_lengths([text]) == pytest.approx(whole)
 
 
+def test_signs_are_no_letters():
+    texts = {"": False, "2² ½ Ⅷ _": False, "1a": True, "ß": True, "日": True, "🙂": False}
+    assert {t: language.has_letter(t) for t in texts} == texts
+
+
 def test_language_of_awkward_rows(awkward, nothing):
     got = Counter((r["doc_id"], r["lang_pred"]) for r in language.predictions(awkward).collect())
     letters = Counter(

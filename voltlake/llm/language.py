@@ -35,13 +35,18 @@ MOST_BITS = 12.0
 UNDETERMINED = "und"
 FOLDS, HELD_OUT = 3, 1
 
-LETTER = re.compile(r"[^\W\d_]")
+MAYBE_LETTER = re.compile(r"[^\W\d_]")
 PAD = b"\n" * ORDER
 SLICE = 1 << 17
 #: Largest index table, 64 MB.
 TABLE_CELLS = 1 << 24
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; the pattern also takes signs such as a superscript two."""
+    return any(m[0].isalpha() for m in MAYBE_LETTER.finditer(text))
+
+
 def fold() -> Column:
     """Rows with remainder ``HELD_OUT`` are never learned from; a null doc_id counts as an empty string."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % FOLDS
@@ -146,7 +151,7 @@ class ContextTrees:
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
         """Language, its share of the probability (0 to 1), and the bits for each byte, of each text."""
         found = [(UNDETERMINED, 0.0, 0.0)] * len(texts)
-        judged = [k for k, text in enumerate(texts) if self.languages and text and LETTER.search(text)]
+        judged = [k for k, text in enumerate(texts) if self.languages and text and has_letter(text)]
         data = [texts[k].encode() for k in judged]
         for k, own, bits in zip(judged, data, self.code_lengths(data), strict=True):
             best = int(np.argmin(bits))
