@@ -4,7 +4,8 @@ Texts and benchmark items are word sequences, without case or ASCII punctuation.
 of every ``MIN_TILE`` words in a document is looked up among those of the benchmark. Hits are checked word by
 word and joined into maximal matches between the document and the item. The longest match is marked as a
 tile, matches that overlap it are cut back, and so on while ``MIN_TILE`` words are left. An item is in a
-document if tiles cover at least ``COVERAGE`` of its words, in whatever order they come.
+document if tiles cover at least ``COVERAGE`` of its words, in whatever order they come. An item of fewer than
+``MIN_TILE`` words is one seed of its own length: it is in a document if it occurs there as a whole.
 
 The benchmark is a stated query set held against all documents. It is taken in blocks whose text size is
 checked, so what tasks receive is bounded; more blocks mean more passes inside the same job, not less work.
@@ -44,49 +45,52 @@ class Items:
         self.min_tile, self.coverage = min_tile, coverage
         self.number: dict[bytes, int] = {}
         self.ids, self.items = [], []
-        seeds, items, places = [], [], []
+        by_size = defaultdict(list)
         for item_id, text in rows:
             ids = np.array([self.number.setdefault(w, len(self.number)) for w in words(text)], dtype=np.int64)
-            hashes = rolling(ids, min_tile)
-            seeds.append(hashes)
-            items.append(np.full(len(hashes), len(self.items)))
-            places.append(np.arange(len(hashes)))
+            if len(ids):
+                size = min(min_tile, len(ids))
+                hashes = rolling(ids, size)
+                by_size[size].append((hashes, np.full(len(hashes), len(self.items)), np.arange(len(hashes))))
             self.ids.append(item_id)
             self.items.append(ids)
-        seeds, items, places = (
-            np.concatenate([np.empty(0, dtype=t), *x])
-            for x, t in ((seeds, np.uint64), (items, np.int64), (places, np.int64))
-        )
-        order = np.argsort(seeds, kind="stable")
-        self.seeds, self.seed_item, self.seed_place = seeds[order], items[order], places[order]
+        #: By length: the hashes in order, and the item and place of each.
+        self.seeds = {}
+        for size, parts in by_size.items():
+            seeds, items, places = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(seeds, kind="stable")
+            self.seeds[size] = seeds[order], items[order], places[order]
 
     def tiles(self, text: str | None) -> list[tuple[int, float, int]]:
         """``(item_id, coverage, tiles)`` of the items that the text contains."""
         number = self.number
         ids = np.array([number.get(w, -1) for w in words(text)], dtype=np.int64)
-        hashes = rolling(ids, self.min_tile)
-        low = np.searchsorted(self.seeds, hashes, "left")
-        at = np.flatnonzero((low < len(self.seeds)) & (self.seeds[np.minimum(low, len(self.seeds) - 1)] == hashes)) if len(self.seeds) else np.empty(0, dtype=np.int64)
+        return [f for size in self.seeds for f in self._found(ids, size)]
+
+    def _found(self, ids: np.ndarray, size: int) -> list[tuple[int, float, int]]:
+        seeds, seed_item, seed_place = self.seeds[size]
+        hashes = rolling(ids, size)
+        low = np.searchsorted(seeds, hashes, "left")
+        at = np.flatnonzero((low < len(seeds)) & (seeds[np.minimum(low, len(seeds) - 1)] == hashes))
         if not len(at):
             return []
-        many = np.searchsorted(self.seeds, hashes[at], "right") - low[at]
+        many = np.searchsorted(seeds, hashes[at], "right") - low[at]
         p = np.repeat(at, many)
         seed = np.repeat(low[at] - np.cumsum(many) + many, many) + np.arange(many.sum())
-        item, q = self.seed_item[seed], self.seed_place[seed]
+        item, q = seed_item[seed], seed_place[seed]
         order = np.lexsort((p, p - q, item))
         item, p, q = item[order], p[order], q[order]
         found = []
         bounds = np.concatenate([[0], np.flatnonzero(np.diff(item)) + 1, [len(item)]])
         for lo, hi in zip(bounds, bounds[1:], strict=False):
             own = self.items[item[lo]]
-            result = self._tile(ids, own, p[lo:hi], q[lo:hi])
+            result = self._tile(ids, own, p[lo:hi], q[lo:hi], size)
             if result and result[0] >= self.coverage * len(own):
                 found.append((self.ids[item[lo]], result[0] / len(own), result[1]))
         return found
 
-    def _tile(self, ids: np.ndarray, own: np.ndarray, p: np.ndarray, q: np.ndarray) -> tuple[int, int] | None:
+    def _tile(self, ids: np.ndarray, own: np.ndarray, p: np.ndarray, q: np.ndarray, size: int) -> tuple[int, int] | None:
         """Words covered and number of tiles, from seeds sorted by diagonal; None if too few can be."""
-        size = self.min_tile
         same = np.ones(len(p), dtype=bool)
         for k in range(size):
             same &= ids[p + k] == own[q + k]
@@ -153,8 +157,8 @@ def contaminated(
 ) -> DataFrame:
     """``doc_id, item_id, coverage, tiles`` for each row of ``docs`` and item found in it.
 
-    Null texts and items, and items of fewer than ``min_tile`` words, match nothing. Repeated rows are found
-    each, repeated items each. Without documents or items there are no rows. Of ``benchmark`` (item_id
+    Null texts, and null items or items without words, match nothing. Repeated rows are found each, repeated
+    items each. Without documents or items there are no rows. Of ``benchmark`` (item_id
     bigint, text) and ``docs`` no other columns are read.
     """
     rows = id_and_text(docs)
