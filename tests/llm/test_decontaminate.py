@@ -1,4 +1,6 @@
-"""Short benchmark items."""
+"""Short benchmark items, and blocks of a benchmark with repeated items."""
+
+from collections import Counter
 
 from tests.llm.conftest import SCHEMA, prose, row
 from voltlake.llm import decontaminate
@@ -22,3 +24,16 @@ def test_short_items_are_found_where_they_occur_whole(spark):
     assert {tuple(r) for r in got} == {(0, 1, 1.0, 1), (2, 2, 1.0, 1), (4, 3, 1.0, 1), (4, 5, 1.0, 1)}
     kept = decontaminate.drop_contaminated(docs, benchmark)
     assert {r["doc_id"] for r in kept.collect()} == {1, 3, 5}
+
+
+def test_blocks_hold_a_repeated_item_once_and_are_within_their_size(spark):
+    texts = [prose(100 + k, 12) for k in range(40)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(0, texts[0])] * 500 + [(77, prose(5, 400)), (78, None)]
+    benchmark = spark.createDataFrame(rows, SCHEMA_OF_ITEMS)
+    blocks = list(decontaminate.benchmark_blocks(benchmark, 1000))
+    assert sum(len(b.ids) for b in blocks) == 41
+    sizes = [sum(len(dict(rows)[i]) for i in b.ids) for b in blocks]
+    assert all(s <= 1000 or len(b.ids) == 1 for s, b in zip(sizes, blocks, strict=True))
+    docs = spark.createDataFrame([row(1, texts[0]), row(2, texts[3])], SCHEMA)
+    got = Counter(tuple(r)[:2] for r in decontaminate.contaminated(docs, benchmark, block_bytes=1000).collect())
+    assert got == {(1, 0): 501, (2, 3): 1}

@@ -7,8 +7,9 @@ tile, matches that overlap it are cut back, and so on while ``MIN_TILE`` words a
 document if tiles cover at least ``COVERAGE`` of its words, in whatever order they come. An item of fewer than
 ``MIN_TILE`` words is one seed of its own length: it is in a document if it occurs there as a whole.
 
-The benchmark is a stated query set held against all documents. It is taken in blocks whose text size is
-checked, so what tasks receive is bounded; more blocks mean more passes inside the same job, not less work.
+The benchmark is a stated query set held against all documents. It is taken in blocks of whole items, each
+different one once, cut where their text sizes add up to ``BLOCK_BYTES``, so what tasks receive is bounded (but
+for a single larger item); more blocks mean more passes inside the same job, not less work.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from voltlake.llm.common import id_and_text, steps
 MIN_TILE = 5
 COVERAGE = 0.8
 BLOCK_BYTES = 16 << 20
+#: Hash ranges for each block of the benchmark, at least.
+FINER = 16
 BASE = np.uint64(0x100000001B3)
 
 _SPACED = bytes(string.punctuation, "ascii")
@@ -39,10 +42,17 @@ def words(text: str | None) -> list[bytes]:
 
 
 class Items:
-    """A block of the benchmark: its items as word numbers, and the hashes of their seeds."""
-
-    def __init__(self, rows: list[tuple[int, str | None]], min_tile: int = MIN_TILE, coverage: float = COVERAGE):
+    """A block of the benchmark: its items as word numbers, how often each is there, and the hashes of their seeds."""
+
+    def __init__(
+        self,
+        rows: list[tuple[int, str | None]],
+        min_tile: int = MIN_TILE,
+        coverage: float = COVERAGE,
+        times: list[int] | None = None,
+    ):
         self.min_tile, self.coverage = min_tile, coverage
+        self.times = [1] * len(rows) if times is None else times
         self.number: dict[bytes, int] = {}
         self.ids, self.items = [], []
         by_size = defaultdict(list)
@@ -63,6 +73,10 @@ class Items:
 
     def tiles(self, text: str | None) -> list[tuple[int, float, int]]:
         """``(item_id, coverage, tiles)`` of the items that the text contains."""
+        return [(self.ids[k], covered, tiles) for k, covered, tiles in self.found(text)]
+
+    def found(self, text: str | None) -> list[tuple[int, float, int]]:
+        """The same with the items' places in the block."""
         number = self.number
         ids = np.array([number.get(w, -1) for w in words(text)], dtype=np.int64)
         return [f for size in self.seeds for f in self._found(ids, size)]
@@ -86,7 +100,7 @@ class Items:
             own = self.items[item[lo]]
             result = self._tile(ids, own, p[lo:hi], q[lo:hi], size)
             if result and result[0] >= self.coverage * len(own):
-                found.append((self.ids[item[lo]], result[0] / len(own), result[1]))
+                found.append((int(item[lo]), result[0] / len(own), result[1]))
         return found
 
     def _tile(self, ids: np.ndarray, own: np.ndarray, p: np.ndarray, q: np.ndarray, size: int) -> tuple[int, int] | None:
@@ -138,14 +152,31 @@ def rolling(ids: np.ndarray, size: int) -> np.ndarray:
 def benchmark_blocks(
     benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, min_tile: int = MIN_TILE, coverage: float = COVERAGE
 ) -> Iterator[Items]:
-    """The benchmark in blocks of about ``block_bytes`` of text, one at a time on the driver."""
+    """The different items of the benchmark in blocks of at most ``block_bytes`` of text, one at a time on the driver.
+
+    Hash ranges are made narrower until each is within a block or one item; blocks are runs of them, cut where
+    their sizes, summed by Spark, would exceed ``block_bytes``.
+    """
     rows = benchmark.select("item_id", "text").where("text IS NOT NULL")
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = max(1, -(-2 * total // block_bytes))
-    bucket = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
-    for k in range(count):
-        block = sorted(map(tuple, rows.where(bucket == k).collect()), key=repr)
-        yield Items(block, min_tile, coverage)
+    total = rows.distinct().agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    count = FINER * max(1, -(-total // block_bytes))
+    while True:
+        bucket = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
+        sums = rows.distinct().groupBy(bucket.alias("k")).agg(F.sum(F.octet_length("text")), F.count("*"))
+        sizes = sorted(map(tuple, sums.collect()))
+        if all(size <= block_bytes or n == 1 for _, size, n in sizes):
+            break
+        count *= FINER
+    cuts, filled = [0], 0
+    for k, size, _ in sizes:
+        if filled and filled + size > block_bytes:
+            cuts.append(k)
+            filled = 0
+        filled += size
+    for lo, hi in zip(cuts, [*cuts[1:], count], strict=True):
+        block = rows.where((bucket >= lo) & (bucket < hi)).groupBy("item_id", "text").agg(F.count("*").alias("n"))
+        block = sorted(map(tuple, block.collect()), key=repr)
+        yield Items([r[:2] for r in block], min_tile, coverage, [r[2] for r in block])
 
 
 def contaminated(
@@ -170,14 +201,16 @@ def contaminated(
             for batch in steps(batches):
                 columns = defaultdict(list)
                 for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    for found in shared.value.tiles(text):
-                        for k, value in enumerate((doc_id, *found)):
+                    for at, covered, tiles in shared.value.found(text):
+                        values = (doc_id, shared.value.ids[at], covered, tiles, shared.value.times[at])
+                        for k, value in enumerate(values):
                             columns[k].append(value)
-                types = (pa.int64(), pa.int64(), pa.float64(), pa.int32())
+                types = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int64())
                 arrays = [pa.array(columns[k], t) for k, t in enumerate(types)]
-                yield pa.record_batch(arrays, ["doc_id", "item_id", "coverage", "tiles"])
+                yield pa.record_batch(arrays, ["doc_id", "item_id", "coverage", "tiles", "times"])
 
-        found = rows.mapInArrow(search, "doc_id bigint, item_id bigint, coverage double, tiles int")
+        found = rows.mapInArrow(search, "doc_id bigint, item_id bigint, coverage double, tiles int, times bigint")
+        found = found.withColumn("time", F.explode(F.sequence(F.lit(1), "times"))).drop("time", "times")
         out = found if out is None else out.unionByName(found)
     return out
 
