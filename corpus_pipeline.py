@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltlake.llm import bpe, chunk_dedup, decontaminate, language, near_copies
+from voltlake.llm import bpe, chunk_dedup, decontaminate, language, simhash
 from voltlake.llm.common import written
 from voltlake.llm.queries import tokenizer
 
@@ -20,8 +20,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by five-word similarities of at least 0.8 the row with the smallest doc_id stays."""
-    return near_copies.drop_near_copies(docs)
+    """Of each group linked by SimHash fingerprints (three-word shingles, three bits) the smallest doc_id stays."""
+    return simhash.drop_near_duplicates(docs, simhash.WORDS, simhash.MAX_BITS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +43,7 @@ STAGES = [
     ("bpe_encoding", bpe_encoding),
 ]
 
-#: Similarity links, tilings and byte-pair merges are beyond SQL.
+#: Fingerprint links, tilings and byte-pair merges are beyond SQL.
 ORACLE_SQL = None
 
 
