@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlake.llm import bpe, chunk_dedup, decontaminate, language, lm, pii, sharding, simhash, token_counts, token_files
+from voltlake.llm import (
+    bpe,
+    chunk_dedup,
+    decontaminate,
+    language,
+    line_dedup,
+    lm,
+    pii,
+    sharding,
+    simhash,
+    token_counts,
+    token_files,
+)
 from voltlake.llm.common import documents
 
 
@@ -65,6 +77,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predictions(documents(spark, sf_dir))
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_repeated_lines(documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_sharding": op2_sharding,
@@ -76,6 +94,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_pitman_yor": op9_pitman_yor,
     "op10_language": op10_language,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 # The check sum by its defining recurrence; the shard by the middle byte of each row.
@@ -118,7 +137,32 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+OP13_SQL = r"""
+WITH
+split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+),
+lines AS (
+  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM split
+),
+keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+),
+repeated AS (
+  SELECT key, max(doc_id) AS stays FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+),
+judged AS (
+  SELECT doc_id, line, pos, coalesce(doc_id <> stays, false) AS dropped FROM keyed LEFT JOIN repeated USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
 ORACLES: dict[str, str] = {
     "op2_sharding": OP2_SQL,
     "op5_chunk_dedup": OP5_SQL,
+    "op13_line_dedup": OP13_SQL,
 }
