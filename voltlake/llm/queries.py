@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from voltlake.llm import (
     bpe,
     chunk_dedup,
+    clustering,
     decontaminate,
     language,
     line_dedup,
@@ -77,6 +78,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predictions(documents(spark, sf_dir))
 
 
+def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeated_lines(documents(spark, sf_dir)).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
@@ -94,6 +99,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_pitman_yor": op9_pitman_yor,
     "op10_language": op10_language,
+    "op11_clustering": op11_clustering,
     "op13_line_dedup": op13_line_dedup,
 }
 
@@ -137,6 +143,57 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+# Vectors and centroids in long form, a row for each component; one step for each round.
+OP11_START = """
+WITH
+vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+),
+long AS (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS k FROM vectors),
+starts AS (
+  SELECT vec_id, row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR)) - 1 AS cluster
+  FROM vectors QUALIFY cluster < 40
+),
+centroids_0 AS (SELECT cluster, k, x AS c FROM starts JOIN long USING (vec_id)),
+"""
+OP11_ROUND = """
+nearest_{r} AS (
+  SELECT vec_id, min(distance * 64 + cluster) % 64 AS cluster, min(distance) AS distance
+  FROM (
+    SELECT vec_id, cluster, sum((x - c) * (x - c))::BIGINT AS distance
+    FROM long JOIN centroids_{r} USING (k) GROUP BY vec_id, cluster
+  ) GROUP BY vec_id
+),
+"""
+OP11_MOVE = """
+sums_{r} AS (
+  SELECT cluster, k, sum(x)::BIGINT AS s, count(*) AS n FROM nearest_{r} JOIN long USING (vec_id) GROUP BY cluster, k
+),
+centroids_{next} AS (
+  SELECT cluster, k, coalesce((s - ((s % n + n) % n)) // n, c) AS c
+  FROM centroids_{r} LEFT JOIN sums_{r} USING (cluster, k)
+),
+"""
+OP11_END = """
+digests AS (
+  SELECT cluster, sha256(string_agg(c::VARCHAR, ',' ORDER BY k)) AS centroid_sha256 FROM centroids_5 GROUP BY cluster
+)
+SELECT vec_id, cluster::INTEGER AS cluster, distance,
+  (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+  (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM nearest_5 JOIN digests USING (cluster)
+"""
+OP11_SQL = "".join(
+    [
+        OP11_START,
+        *(OP11_ROUND.format(r=r) + OP11_MOVE.format(r=r, next=r + 1) for r in range(5)),
+        OP11_ROUND.format(r=5),
+        OP11_END,
+    ]
+)
+
 OP13_SQL = r"""
 WITH
 split AS (
@@ -164,5 +221,6 @@ FROM judged GROUP BY doc_id
 ORACLES: dict[str, str] = {
     "op2_sharding": OP2_SQL,
     "op5_chunk_dedup": OP5_SQL,
+    "op11_clustering": OP11_SQL,
     "op13_line_dedup": OP13_SQL,
 }
