@@ -40,6 +40,34 @@ def steps(batches: Iterator[pa.RecordBatch], column: str | int = "text") -> Iter
             yield batch.slice(start)
 
 
+def item_blocks(items: DataFrame, block_bytes: int, finer: int = 16) -> Iterator[list[tuple[int, str, int]]]:
+    """The different ``(item_id, text)`` of a stated set of queries, with their number of rows, in bounded blocks.
+
+    Hash ranges are made narrower until each holds at most ``block_bytes`` of text or one item; blocks are runs of
+    them, cut where their sizes, summed by Spark, would exceed ``block_bytes``. One block at a time is on the
+    driver. Null texts are left out.
+    """
+    rows = items.select("item_id", "text").where("text IS NOT NULL")
+    total = rows.distinct().agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    count = finer * max(1, -(-total // block_bytes))
+    while True:
+        bucket = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
+        sums = rows.distinct().groupBy(bucket.alias("k")).agg(F.sum(F.octet_length("text")), F.count("*"))
+        sizes = sorted(map(tuple, sums.collect()))
+        if all(size <= block_bytes or n == 1 for _, size, n in sizes):
+            break
+        count *= finer
+    cuts, filled = [0], 0
+    for k, size, _ in sizes:
+        if filled and filled + size > block_bytes:
+            cuts.append(k)
+            filled = 0
+        filled += size
+    for lo, hi in zip(cuts, [*cuts[1:], count], strict=True):
+        block = rows.where((bucket >= lo) & (bucket < hi)).groupBy("item_id", "text").agg(F.count("*").alias("n"))
+        yield sorted(map(tuple, block.collect()), key=repr)
+
+
 def written(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` written once to the shared folder and read back.
 

@@ -24,13 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltlake.llm.common import id_and_text, steps
+from voltlake.llm.common import id_and_text, item_blocks, steps
 
 MIN_TILE = 5
 COVERAGE = 0.8
 BLOCK_BYTES = 16 << 20
-#: Hash ranges for each block of the benchmark, at least.
-FINER = 16
 BASE = np.uint64(0x100000001B3)
 
 _SPACED = bytes(string.punctuation, "ascii")
@@ -152,30 +150,8 @@ def rolling(ids: np.ndarray, size: int) -> np.ndarray:
 def benchmark_blocks(
     benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, min_tile: int = MIN_TILE, coverage: float = COVERAGE
 ) -> Iterator[Items]:
-    """The different items of the benchmark in blocks of at most ``block_bytes`` of text, one at a time on the driver.
-
-    Hash ranges are made narrower until each is within a block or one item; blocks are runs of them, cut where
-    their sizes, summed by Spark, would exceed ``block_bytes``.
-    """
-    rows = benchmark.select("item_id", "text").where("text IS NOT NULL")
-    total = rows.distinct().agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = FINER * max(1, -(-total // block_bytes))
-    while True:
-        bucket = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
-        sums = rows.distinct().groupBy(bucket.alias("k")).agg(F.sum(F.octet_length("text")), F.count("*"))
-        sizes = sorted(map(tuple, sums.collect()))
-        if all(size <= block_bytes or n == 1 for _, size, n in sizes):
-            break
-        count *= FINER
-    cuts, filled = [0], 0
-    for k, size, _ in sizes:
-        if filled and filled + size > block_bytes:
-            cuts.append(k)
-            filled = 0
-        filled += size
-    for lo, hi in zip(cuts, [*cuts[1:], count], strict=True):
-        block = rows.where((bucket >= lo) & (bucket < hi)).groupBy("item_id", "text").agg(F.count("*").alias("n"))
-        block = sorted(map(tuple, block.collect()), key=repr)
+    """The different items of the benchmark in blocks of at most ``block_bytes`` of text, one at a time on the driver."""
+    for block in item_blocks(benchmark, block_bytes):
         yield Items([r[:2] for r in block], min_tile, coverage, [r[2] for r in block])
 
 

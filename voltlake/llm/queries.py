@@ -11,6 +11,7 @@ from voltlake.llm import (
     clustering,
     decontaminate,
     language,
+    lexical_search,
     line_dedup,
     lm,
     pii,
@@ -82,6 +83,10 @@ def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeated_lines(documents(spark, sf_dir)).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
@@ -100,6 +105,7 @@ QUERIES = {
     "op9_pitman_yor": op9_pitman_yor,
     "op10_language": op10_language,
     "op11_clustering": op11_clustering,
+    "op12_lexical_search": op12_lexical_search,
     "op13_line_dedup": op13_line_dedup,
 }
 
@@ -194,6 +200,39 @@ OP11_SQL = "".join(
     ]
 )
 
+OP12_SQL = r"""
+WITH
+terms AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+),
+lengths AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM lengths),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counts, totals GROUP BY term
+),
+bases AS (SELECT doc_id, 12 * (100 - 25 + (25 * n * docs) // total) AS base FROM lengths, totals),
+scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + base)))::BIGINT AS score
+  FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN bases USING (doc_id)
+  GROUP BY item_id, doc_id
+)
+SELECT item_id, (row_number() OVER best)::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+QUALIFY rank <= 20
+"""
+
 OP13_SQL = r"""
 WITH
 split AS (
@@ -222,5 +261,6 @@ ORACLES: dict[str, str] = {
     "op2_sharding": OP2_SQL,
     "op5_chunk_dedup": OP5_SQL,
     "op11_clustering": OP11_SQL,
+    "op12_lexical_search": OP12_SQL,
     "op13_line_dedup": OP13_SQL,
 }
