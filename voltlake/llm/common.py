@@ -68,8 +68,8 @@ def item_blocks(items: DataFrame, block_bytes: int, finer: int = 16) -> Iterator
         yield sorted(map(tuple, block.collect()), key=repr)
 
 
-def written(rows: DataFrame, name: str) -> DataFrame:
-    """``rows`` written once to the shared folder and read back.
+def written(rows: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """``rows`` written once to the shared folder, in subfolders by the columns ``by``, and read back.
 
     What reads them several times reads files instead of repeating the work, and values such as
     ``monotonically_increasing_id()`` are settled. The folder lies in ``spark.checkpoint.dir`` and stays
@@ -77,7 +77,7 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     """
     spark = rows.sparkSession
     folder = new_folder(spark, name)
-    rows.write.option("compression", "zstd").parquet(folder)
+    rows.write.option("compression", "zstd").partitionBy(*by).parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)
 
 

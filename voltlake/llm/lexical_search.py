@@ -8,8 +8,8 @@ bitmap of the documents that have it set. Beside the slices are the documents' l
 The slices of a query term, put together by "and", are a bitmap that marks at least all documents with the term.
 The sums of these bitmaps, weighted by the terms and the occurrences of their level, are upper bounds of all scores of
 a block. A document whose bound is below the score of the ``k``-th best document seen so far is out; all others are
-scored exactly from their counts. The first such scores come from ``SEED_BLOCKS`` blocks (any documents give a valid
-one), then each task raises its own.
+scored exactly from their counts. The first such scores come from one of ``SEED_SHARE`` blocks (any documents give a
+valid one), which lie in a folder of their own; then each task raises its own.
 
 Queries are a stated set held against all documents, in blocks of ``QUERY_BYTES``. A task returns ``k`` documents
 a query at most, and two ranking steps bring them together, so no query's rows meet in one task before they are few.
@@ -40,7 +40,7 @@ BLOCK_DOCS, BLOCK_BITS, BLOCK_BYTES = 4096, 1 << 25, 4 << 20
 QUERY_BYTES = 1 << 20
 #: Different terms of the queries whose bitmaps are held at a time.
 GROUP_TERMS = 4096
-SEED_BLOCKS = 16
+SEED_SHARE = 64
 #: Documents scored at a time.
 SCORED = 256
 #: Ranking is done by slices of documents first.
@@ -53,7 +53,7 @@ TERM_BYTES = bytes(
 
 INDEX_SCHEMA = (
     "bits int, doc_ids array<bigint>, lengths array<bigint>, most array<bigint>, slices binary, "
-    "terms array<binary>, counts array<binary>"
+    "terms array<binary>, counts array<binary>, seed boolean"
 )
 
 
@@ -85,7 +85,7 @@ class Block:
         slices = np.zeros((self.bits, wide), dtype=np.uint8)
         for at, own in enumerate(self.set):
             slices[own, at >> 3] |= np.uint8(128 >> (at & 7))
-        kinds = {"bits": pa.int32(), "slices": pa.binary()}
+        kinds = {"bits": pa.int32(), "slices": pa.binary(), "seed": pa.bool_()}
         lists = {"terms": pa.binary(), "counts": pa.binary()}
         values = {
             "bits": self.bits,
@@ -95,6 +95,7 @@ class Block:
             "slices": slices.tobytes(),
             "terms": self.terms,
             "counts": self.counts,
+            "seed": xxhash.xxh3_64_intdigest(slices) % SEED_SHARE == 0,
         }
         arrays = [pa.array([v], kinds.get(c) or pa.list_(lists.get(c, pa.int64()))) for c, v in values.items()]
         return pa.record_batch(arrays, list(values))
@@ -308,7 +309,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = TOP, query_bytes: int = Q
     documents without terms give no rows, and so do empty tables. Other columns are not read.
     """
     spark = docs.sparkSession
-    blocks = written(index(docs), "search-index")
+    blocks = written(index(docs), "search-index", ("seed",))
     lengths = F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, b: a + b)
     documents, total = blocks.agg(F.sum(F.size("doc_ids")), F.sum(lengths)).first()
     out = None
@@ -319,7 +320,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = TOP, query_bytes: int = Q
             held.weigh(documents, total, dict(map(tuple, document_counts(blocks, counting).collect())))
         shared = spark.sparkContext.broadcast(held)
         least = np.ones(len(block), dtype=np.int64)
-        for at, _, score, *_, rank in ranked(best_rows(blocks.limit(SEED_BLOCKS), shared, k, None), k).collect():
+        for at, _, score, *_, rank in ranked(best_rows(blocks.where("seed"), shared, k, None), k).collect():
             if rank == k:
                 least[at] = max(score, 1)
         top = ranked(best_rows(blocks, shared, k, least), k)
