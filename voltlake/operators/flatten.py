@@ -82,7 +82,12 @@ def flatten(bronze: DataFrame, feed: Feed) -> DataFrame:
     Payloads without observations, and unreadable ones, give one row of nulls; ``conform`` drops it
     and :func:`rejected` reports the unreadable ones.
     """
-    payloads = with_parsed(bronze, feed).select(*carry_metadata(bronze), *parsed_names(feed))
+    return unfolded(with_parsed(bronze, feed), feed)
+
+
+def unfolded(rows: DataFrame, feed: Feed, *more: Column) -> DataFrame:
+    """The observations of payloads parsed by :func:`with_parsed`, with their metadata and columns ``more``."""
+    payloads = rows.select(*carry_metadata(rows), *more, *parsed_names(feed))
     names = [c for c in payloads.columns if c not in ("_list", "_object")]
     records = payloads.select(
         *names, F.explode_outer(record_list(feed.record_type, feed.shape)).alias("_record")
@@ -94,6 +99,24 @@ def flatten(bronze: DataFrame, feed: Feed) -> DataFrame:
     return points.select(*names, *feed.outer_fields, "_point.*")
 
 
+def read_once(bronze: DataFrame, feed: Feed) -> DataFrame:
+    """:func:`flatten` and :func:`rejected` in one parse: rows of either, told apart by ``_rejected``.
+
+    Rejects have their text in ``_text`` and the ``_reason``; their other columns are null but for the metadata.
+    """
+    line = F.col(CORRUPT_LINE) if CORRUPT_LINE in bronze.columns else F.lit(None).cast("string")
+    rows = with_parsed(bronze.withColumn("_line", line), feed)
+    nothing = reduce(and_, [F.col(name).isNull() for name in parsed_names(feed)])
+    lost = F.col("_line").isNotNull() | (F.col("raw_response").isNotNull() & nothing)
+    return unfolded(
+        rows,
+        feed,
+        lost.alias("_rejected"),
+        F.when(lost, F.coalesce("_line", "raw_response")).alias("_text"),
+        F.when(F.col("_line").isNotNull(), "line").when(lost, "payload").alias("_reason"),
+    )
+
+
 def with_parsed(bronze: DataFrame, feed: Feed) -> DataFrame:
     """Bronze rows with the columns of :func:`parsed`; an object that broke off is null as a whole."""
     _require_payload(bronze)

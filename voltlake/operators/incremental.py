@@ -24,17 +24,20 @@ def newer_than(
     period: str | None = None,
     grain: str = "day",
     overlap_days: int = 0,
+    mark: Column | None = None,
 ) -> DataFrame:
     """Rows ingested after everything in ``target``, and rows without an ingest time.
 
-    All rows if there is no target, it has no ingest time, or it is empty. ``period`` names the
+    All rows if there is no target, it has no ingest time, or it is empty. With ``mark``, the newest ingest
+    time in ``target`` where it is known, the target is not read. ``period`` names the
     partition column of ``rows`` if no row lies in an earlier one than the ``grain`` of its ingest time.
     ``overlap_days`` goes back behind the mark by that much, for landings that end after a newer one was
     merged: merging by newest ingest makes the repeated rows harmless.
     """
     if target is None or INGESTED not in target.columns:
         return rows
-    mark = target.agg(F.max(F.col(INGESTED).cast("timestamp"))).scalar()
+    if mark is None:
+        mark = target.agg(F.max(F.col(INGESTED).cast("timestamp"))).scalar()
     if overlap_days:
         mark = mark - F.make_dt_interval(days=F.lit(overlap_days))
     if period is not None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +34,42 @@ def holds_files(spark: SparkSession, location: str) -> bool:
     )
 
 
+def footprint(spark: SparkSession, location: str, without: Sequence[str] = ()) -> list[int]:
+    """Number and bytes of the files below a folder, but for its subfolders ``without``; zeros if it is missing.
+
+    One call of the file system, whatever the number of files.
+    """
+    files, path = _resolve(spark, location)
+    if not files.exists(path):
+        return [0, 0]
+    found = files.getContentSummary(path)
+    held = [found.getFileCount(), found.getLength()]
+    for name in without:
+        held = [a - b for a, b in zip(held, footprint(spark, f"{location}/{name}"), strict=True)]
+    return held
+
+
+def write_text(spark: SparkSession, location: str, text: str) -> None:
+    """Replace a small file. A reader may see it half written."""
+    files, path = _resolve(spark, location)
+    out = files.create(path, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, location: str) -> str | None:
+    files, path = _resolve(spark, location)
+    if not files.exists(path):
+        return None
+    source = files.open(path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
 def delete(spark: SparkSession, location: str) -> None:
     """Delete a folder and what is in it."""
     files, path = _resolve(spark, location)

@@ -41,15 +41,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def staged(rows: DataFrame) -> Iterator[DataFrame]:
-    """``rows`` computed once into a table that is gone after the block.
+def staged(rows: DataFrame, *by: str) -> Iterator[DataFrame]:
+    """``rows`` computed once into a table that is gone after the block, with a folder for each value of ``by``.
 
     What reads it several times (keys, periods, rows) scans Parquet columns instead of repeating the
     work, and a lost executor costs a re-read, not a recomputation.
     """
     spark = rows.sparkSession
     folder = new_folder(spark, "stage")
-    rows.write.parquet(folder)
+    rows.write.partitionBy(*by).parquet(folder)
     try:
         yield spark.read.schema(rows.schema).parquet(folder)
     finally:

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from voltlake.operators.flatten import rejected
-from voltlake.plans.silver import silver_batch
+from voltlake.plans.silver import merge_payloads
 from voltlake.sources.bronze import FORMAT, reading
 from voltlake.sources.feeds import Feed
-from voltlake.sources.tables import merge_into, rejects_table, silver_table
 
 
 def follow_bronze(
@@ -29,9 +27,7 @@ def follow_bronze(
     schema, options = reading(feed, fmt)
 
     def merge(batch: DataFrame, _: int) -> None:
-        if rejects_path is not None:
-            merge_into(rejected(batch, feed).distinct(), rejects_path, rejects_table(feed))
-        merge_into(silver_batch(batch, feed), silver_path, silver_table(feed))
+        merge_payloads(batch, feed, silver_path, rejects_path)
 
     return (
         spark.readStream.schema(schema)
