@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from voltlake.operators.conform import conform, stamp_processed
 from voltlake.operators.flatten import (
+    FoundTypes,
     flatten,
     flatten_inferred,
+    flatten_widening,
+    found_types,
     infer_payload_type,
     payload_fields,
     rejected,
@@ -210,3 +213,44 @@ def test_undeclared_lists_and_objects_together(spark, rows):
     for out in (flatten_inferred(raw), flatten_inferred(raw, kind)):
         got = out.selectExpr("timestamp", "string(round(double(frequency_hz), 2))", "region")
         assert rows(got) == [("2024-01-01T00:00:00Z", "50.0", "North"), ("2024-01-01T00:04:00Z", "49.95", None)]
+
+
+BATCHES = [
+    ['{"items": [{"a": 1}, {"a": null, "b": "x"}]}'],
+    ['{"items": [{"a": 2.5, "c": {"d": []}}], "n": null}', '[{"a": "text"}]'],
+    ['{"items": [{"a": 123456789012345678901234567890.12345678, "c": {"d": [{"e": true}]}}]}'],
+    ['[{"a": 1e300}]', '{"items": null, "n": 7}', '{"broken'],
+    ['{"items": [{"c": {"d": [{"e": false, "é f": 1}]}}], "Z": 1, "a": {}}'],
+    ['[]', '{}', '{"n": "seven"}', '3', 'null'],
+]
+
+
+def test_types_of_batches_widen_to_the_type_of_all(spark):
+    def found(texts):
+        return found_types(spark.createDataFrame([(t,) for t in texts], "raw_response string"))
+
+    for order in (BATCHES, BATCHES[::-1], BATCHES[2:] + BATCHES[:2]):
+        kind, so_far = FoundTypes(), []
+        for batch in order:
+            so_far += batch
+            kind = kind.widened(found(batch))
+            assert kind == found(so_far)
+
+
+def test_a_batch_with_a_new_field_is_read_once_and_widens_the_type(spark):
+    first, kind = flatten_widening(bronze(spark, '[{"a": 1, "b": "x"}]'))
+    assert [tuple(r) for r in first.select("a", "b").collect()] == [(1, "x")]
+    times = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        times.add(1)
+        return text
+
+    batch = bronze(spark, '[{"a": 2.5, "c": true}]').withColumn("raw_response", counted.asNondeterministic()("raw_response"))
+    second, kind = flatten_widening(batch, kind)
+    assert [(float(r.a), r.b, r.c) for r in second.collect()] == [(2.5, None, True)]
+    assert times.value == 1
+    assert {f.name for f in kind.lists.elementType} == {"a", "b", "c"}
+    again = flatten_inferred(bronze(spark, '[{"a": 1, "b": "x"}]'), kind.declared())
+    assert [(float(r.a), r.b, r.c) for r in again.collect()] == [(1.0, "x", None)]

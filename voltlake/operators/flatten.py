@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltlake.sources.feeds import Feed
+from voltlake.sources.staging import new_folder
 
 # The request columns carried along, and the fields that hold a list of records.
 METADATA = ["dataset", "from_timestamp", "to_timestamp", "hours", "ingestion_timestamp"]
@@ -171,23 +174,96 @@ def payload_fields(bronze: DataFrame, listing: str | None = None) -> DataFrame:
 def infer_payload_type(bronze: DataFrame) -> T.DataType:
     """Payload type merged over every payload, for feeds nobody described yet.
 
-    Takes one type name, not data, to the driver. Lists and objects are merged apart and put together
-    only if one of the two kinds occurs; if both do, the payload is a :class:`Mixed` of the two.
+    Takes type names, not data, to the driver. Lists and objects are merged apart; if both occur, the payload
+    is a :class:`Mixed` of the two.
     """
+    return found_types(bronze).declared()
+
+
+def found_types(bronze: DataFrame) -> FoundTypes:
+    """The types of lists and of objects in all payloads."""
     _require_payload(bronze)
-    value = F.try_parse_json("raw_response")
+    return FoundTypes.named(*bronze.select(*as_variants()).agg(*variant_types().values()).first())
+
+
+def as_variants() -> list[Column]:
     is_list = F.ltrim("raw_response", F.lit(JSON_WHITE_SPACE)).startswith("[")
-    lists, objects = bronze.agg(
-        F.schema_of_variant_agg(F.when(is_list, value)),
-        F.schema_of_variant_agg(F.when(~is_list, value)),
-    ).first()
-    kinds = [declared_type(name) for name in (lists, objects)]
-    found = [k for k in kinds if isinstance(k, T.ArrayType | T.StructType)]
-    if len(found) == 2:
-        return Mixed(*found)
-    if not found:
-        raise ValueError(f"Unsupported payload type: {objects}")
-    return found[0]
+    return [F.try_parse_json("raw_response").alias("_value"), is_list.alias("_is_list")]
+
+
+def variant_types() -> dict[str, Column]:
+    """Aggregates of :func:`as_variants`: the type names of lists and of objects."""
+    is_list = F.col("_is_list")
+    return {
+        "lists": F.schema_of_variant_agg(F.when(is_list, F.col("_value"))),
+        "objects": F.schema_of_variant_agg(F.when(~is_list, F.col("_value"))),
+    }
+
+
+@dataclass(frozen=True)
+class FoundTypes:
+    """What payloads turned out to be: the merged type of the lists among them, and that of the objects.
+
+    ``NullType`` stands for what was only ever null or did not occur. Types of batches are put together by
+    :meth:`widened`, with the result that all payloads at once would have given.
+    """
+
+    lists: T.DataType = T.NullType()
+    objects: T.DataType = T.NullType()
+
+    @classmethod
+    def named(cls, lists: str, objects: str) -> FoundTypes:
+        return cls(T.DataType.fromDDL(column_type(lists)), T.DataType.fromDDL(column_type(objects)))
+
+    def widened(self, other: FoundTypes) -> FoundTypes:
+        return FoundTypes(widened(self.lists, other.lists), widened(self.objects, other.objects))
+
+    def declared(self) -> T.DataType:
+        """The type to read payloads with."""
+        found = [
+            without_nulls(k) for k in (self.lists, self.objects) if isinstance(k, T.ArrayType | T.StructType)
+        ]
+        found = [k for k in found if isinstance(k, T.ArrayType | T.StructType)]
+        if len(found) == 2:
+            return Mixed(*found)
+        if not found:
+            raise ValueError(f"Unsupported payload type: {self.objects.simpleString()}")
+        return found[0]
+
+
+#: Digits of a whole number, and the most that a decimal may have.
+WHOLE_DIGITS, MOST_DIGITS = 20, 38
+
+
+def widened(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that holds values of both, as ``schema_of_variant_agg`` merges them."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(widened(a.elementType, b.elementType))
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        kinds = {f.name: f.dataType for f in a}
+        for f in b:
+            kinds[f.name] = widened(kinds.get(f.name, T.NullType()), f.dataType)
+        return T.StructType([T.StructField(name, kinds[name]) for name in sorted(kinds, key=str.encode)])
+    if not (isinstance(a, T.NumericType) and isinstance(b, T.NumericType)):
+        return T.VariantType()
+    if T.DoubleType() in (a, b):
+        return T.DoubleType()
+    scale = max(getattr(k, "scale", 0) for k in (a, b))
+    whole = max(k.precision - k.scale if isinstance(k, T.DecimalType) else WHOLE_DIGITS for k in (a, b))
+    return T.DecimalType(whole + scale, scale) if whole + scale <= MOST_DIGITS else T.DoubleType()
+
+
+def without_nulls(kind: T.DataType) -> T.DataType:
+    """``kind`` with text for what was only ever null and for objects without fields."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(without_nulls(kind.elementType))
+    if isinstance(kind, T.StructType) and len(kind):
+        return T.StructType([T.StructField(f.name, without_nulls(f.dataType)) for f in kind])
+    return T.StringType() if isinstance(kind, T.NullType | T.StructType) else kind
 
 
 class Mixed(T.StructType):
@@ -198,32 +274,51 @@ class Mixed(T.StructType):
 
 
 # Type names of variants that are none of columns; field names, quoted or before a colon, are passed over.
-_TYPE_NAMES = re.compile(r"`(?:[^`]|``)*`|[\w$-]+(?=\s*:)|(?P<object>OBJECT(?=<))|(?P<void>\bVOID\b)")
+_TYPE_NAMES = re.compile(r"`(?:[^`]|``)*`|[\w$-]+(?=\s*:)|(?P<object>OBJECT(?=<))")
 
 
-def declared_type(name: str) -> T.DataType:
-    """The column type of a variant's type name; fields that were only ever null are text."""
+def column_type(name: str) -> str:
+    """The column type of a variant's type name."""
+    return _TYPE_NAMES.sub(lambda m: "STRUCT" if m["object"] else m[0], name)
 
-    def column(m: re.Match) -> str:
-        return "STRUCT" if m["object"] else "STRING" if m["void"] else m[0]
 
-    return T.DataType.fromDDL(_TYPE_NAMES.sub(column, name).replace("STRUCT<>", "STRING"))
+def flatten_inferred(bronze: DataFrame, kind: T.DataType | None = None) -> DataFrame:
+    """Flatten payloads of an undeclared feed with a stored type, or the one found in them.
 
+    Without a type Bronze is read once all the same, see :func:`flatten_widening`.
+    """
+    if kind is None:
+        return flatten_widening(bronze)[0]
+    return _records(bronze, kind, lambda part: F.from_json("raw_response", part, ANY_LENGTH))
 
-def flatten_inferred(bronze: DataFrame, kind: T.DataType | None = None) -> DataFrame:
-    """Flatten payloads of an undeclared feed with a stored type, or the one :func:`infer_payload_type` finds.
 
-    Finding it reads all payloads, so a feed that is read again should pass the type on.
+def flatten_widening(bronze: DataFrame, known: FoundTypes | None = None) -> tuple[DataFrame, FoundTypes]:
+    """Flat payloads of an undeclared feed, and the type they were read with, for the next batch.
+
+    ``known`` is what earlier batches gave; the payloads of this one widen it. They are parsed once, into a
+    table in the shared folder, and their type is observed on the way.
     """
-    kind = infer_payload_type(bronze) if kind is None else kind
+    _require_payload(bronze)
+    spark, seen = bronze.sparkSession, Observation()
+    values = bronze.select(*carry_metadata(bronze), *as_variants())
+    folder = new_folder(spark, "payloads")
+    values.observe(seen, *[c.alias(name) for name, c in variant_types().items()]).write.parquet(folder)
+    kind = FoundTypes.named(**seen.get)
+    kind = kind if known is None else known.widened(kind)
+    values = spark.read.schema(values.schema).parquet(folder)
+    return _records(values, kind.declared(), lambda part: F.col("_value").try_cast(part)), kind
+
+
+def _records(rows: DataFrame, kind: T.DataType, read: Callable[[T.DataType], Column]) -> DataFrame:
+    """The records of payloads of type ``kind`` that ``read`` makes of them."""
     if isinstance(kind, Mixed):
-        is_list = F.ltrim("raw_response", F.lit(JSON_WHITE_SPACE)).startswith("[")
+        is_list = F.col("_is_list") if "_is_list" in rows.columns else as_variants()[1]
         parts = [
-            flatten_inferred(bronze.where(condition), part.dataType)
+            _records(rows.where(condition), part.dataType, read)
             for condition, part in zip((is_list, ~is_list), kind.fields, strict=True)
         ]
         return parts[0].unionByName(parts[1], allowMissingColumns=True)
-    payload = F.from_json("raw_response", kind, ANY_LENGTH)
+    payload = read(kind)
     if isinstance(kind, T.ArrayType):
         records = F.explode_outer(payload)
     elif isinstance(kind, T.StructType):
@@ -233,7 +328,7 @@ def flatten_inferred(bronze: DataFrame, kind: T.DataType | None = None) -> DataF
         records = payload if listing is None else F.explode_outer(payload[listing])
     else:
         raise ValueError(f"Unsupported payload type: {kind.simpleString()}")
-    flat = bronze.select(*carry_metadata(bronze), records.alias("_record"))
+    flat = rows.select(*carry_metadata(rows), records.alias("_record"))
     return flat.select(*[c for c in flat.columns if c != "_record"], "_record.*")
 
 
