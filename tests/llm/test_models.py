@@ -11,7 +11,7 @@ import pytest
 
 from tests.llm.conftest import SCHEMA, prose, row
 from voltlake.llm import boosting, decontaminate, language, lm, pii
-from voltlake.llm.pitman_yor import Seating
+from voltlake.llm.pitman_yor import draw_tables, many
 from voltlake.llm.queries import QUERIES
 
 
@@ -122,13 +122,15 @@ def test_op9_base_scores_and_perplexity(spark, sf, plain):
     assert again == pytest.approx({r["doc_id"]: r["score"] for r in got})
 
 
-def test_probabilities_sum_to_one(spark, awkward):
+def test_probabilities_sum_to_one(spark, monkeypatch):
     """Known words and the one unknown outcome share all probability: score every word as a text."""
     ids = [k for k in range(400) if not held_out(k, 7, 2)]
     held = [k for k in range(400, 4000) if held_out(k, 7, 2)]
     texts = [prose(k, 30) for k in range(20)]
     vocabulary = sorted({w for t in texts for w in t.split()})
     rows = [row(ids.pop(), t) for t in texts] + [row(held.pop(), w) for w in [*vocabulary, "unknown!", ""]]
+    # With one context for all words, that is what an end costs after any word.
+    monkeypatch.setattr(lm, "context_of", lambda hashes: hashes * 0)
     got = {r["doc_id"]: r["score"] for r in lm.score(spark.createDataFrame(rows, SCHEMA)).collect()}
     end = got[rows[-1][0]]
     total = 10**end + sum(10 ** (got[r[0]] - end) for r in rows[len(texts) : -1])
@@ -149,20 +151,123 @@ def test_nothing_to_learn_from(spark):
     assert [(r["base_score"], r["score"], r["n_known"]) for r in got] == [(0, 0, 0)] * 3
 
 
-def test_seatings_stay_consistent_and_follow_the_process():
+def table_law(c, mass, d):
+    """Probabilities of 1 to c tables by the recursion over generalized Stirling numbers."""
+    log_s, t = np.full(c + 1, -np.inf), np.arange(1, c + 1)
+    log_s[0] = 0
+    for n in range(c):
+        with np.errstate(divide="ignore"):
+            stay = np.where(t <= n, np.log(np.maximum(n - t * d, 1e-300)) + log_s[1:], -np.inf)
+        log_s[1:] = np.logaddexp(log_s[:-1], stay)
+        log_s[0] = -np.inf
+    weight = log_s[1:] + t * math.log(mass)
+    weight = np.exp(weight - weight.max())
+    return weight / weight.sum()
+
+
+@pytest.mark.parametrize("d", [0.1, 0.5, 0.9])
+@pytest.mark.parametrize("c", [2, 3, 100, 700, 10_000])
+def test_table_counts_follow_their_law(c, d):
     rng = np.random.default_rng(1)
-    c = np.array([0, 1, 2, 5, 40, 1000])
-    mass = np.array([1.0, 0.5, 0.1, 2.0, 3.0, 5.0])
-    seating = Seating.start(c, mass, 0.5, rng)
-    for _ in range(50):
-        seating.step(mass, rng)
-        owner = np.repeat(np.arange(len(c)), seating.t)
-        assert (np.bincount(owner, weights=seating.size, minlength=len(c)) == c).all() and (seating.size > 0).all()
-    # Two customers of a dish sit apart with probability mass / (1 - d + mass).
-    many = Seating.start(np.full(20_000, 2), np.full(20_000, 0.3), 0.5, rng)
-    for _ in range(5):
-        many.step(np.full(20_000, 0.3), rng)
-    assert (many.t == 2).mean() == pytest.approx(0.3 / 0.8, abs=0.02)
+    for mass in (0.3, 10.0, 300.0):
+        law, t = table_law(c, mass, d), np.arange(1, c + 1)
+        mean = (law * t).sum()
+        drawn = draw_tables(np.full(4_000, c), np.full(4_000, mass), d, rng)
+        assert drawn.min() >= 1 and drawn.max() <= c
+        assert drawn.mean() == pytest.approx(mean, rel=0.03)
+        assert drawn.var() == pytest.approx((law * (t - mean) ** 2).sum(), rel=0.2, abs=0.05)
+
+
+def test_table_counts_of_any_number_of_customers():
+    rng = np.random.default_rng(2)
+    assert draw_tables(np.array([0, 1, 1]), np.array([3.0, 0.0, 1e9]), 0.5, rng).tolist() == [0, 1, 1]
+    assert draw_tables(np.array([], dtype=int), np.array([]), 0.5, rng).tolist() == []
+    c = np.array([257, 10**4, 10**7, 10**10], dtype=float)
+    for mass in (1e-9, 1.0, 1e3, 1e9):
+        mean, variance = many(c, np.full(4, mass), 0.5)
+        assert (mean >= 1).all() and (mean <= c).all() and (variance >= 0).all() and (np.diff(mean) >= 0).all()
+    assert many(c[3:], np.array([10.0]), 0.5)[0] == pytest.approx(1 + 10 / 0.5, rel=1e-3)
+
+
+def test_scores_of_words_that_were_seen_once_against_brute_force(spark, monkeypatch):
+    """Every count is one, so every seating is certain; letters are all alike."""
+    monkeypatch.setattr(lm, "letter_table", lambda grams, n, rng: np.full(lm.SYMBOLS**4, -math.log2(43), np.float32))
+    words = [prose(k, 1).rstrip(".") + str(k) for k in range(30)]
+    learned = [k for k in range(100) if not held_out(k, 7, 2)][:3]
+    rows = [row(i, " ".join(words[10 * k : 10 * k + 10])) for k, i in enumerate(learned)]
+    fresh = [k for k in range(100, 200) if held_out(k, 7, 2)][:4]
+    shuffled = [words[k] for k in (7, 3, 21, 4, 5, 6, 28, 0, 11, 12)]
+    rows += [row(i, t) for i, t in zip(fresh, [" ".join(words[:10]), " ".join(shuffled), "", words[4] + " new"], strict=True)]
+    got = {r["doc_id"]: r["score"] for r in lm.score(spark.createDataFrame(rows, SCHEMA)).collect()}
+
+    texts = {r[0]: [*r[1].split(), ""] for r in rows}
+    context = lambda w: int(lm.context_of(np.array([zlib.crc32(w.encode())], dtype=np.int64))[0])
+    pairs = Counter((context(x), w) for i in learned for x, w in zip(["", *texts[i]], texts[i]))
+    assert set(pairs.values()) == {1}
+    tokens = Counter(x for x, _ in pairs.elements())
+    tables = Counter(x for x, _ in pairs)
+    customers = Counter(w for _, w in pairs)
+    spell = lambda w: 43.0 ** -(sum(1 if c.isalpha() else 2 for c in w) + 1)
+    n1, n2 = (sum(v == k for v in customers.values()) for k in (1, 2))
+    d = {1: 0.9, 0: round(min(n1 / (n1 + 2 * n2), 0.9), 2)}
+    theta, total = 1.0, sum(customers.values())
+    ends = customers[""]  # the only word with several customers: its tables are drawn
+
+    def word(w, end_tables):
+        free = (theta + d[0] * (len(customers) - 1 + end_tables)) / (theta + total)
+        t = end_tables if w == "" else 1
+        if w in customers:
+            return (customers[w] - d[0] * t) / (theta + total) + free * spell(w)
+        return free * (1 - sum(spell(x) for x in customers))
+
+    def score(i, end_tables):
+        out = 0.0
+        for before, w in zip(["", *texts[i]], texts[i]):
+            x = context(before)
+            own = (pairs[x, w] - d[1]) if (x, w) in pairs else 0
+            out += math.log10((own + (theta + d[1] * tables[x]) * word(w, end_tables)) / (theta + tokens[x]))
+        return out
+
+    for i in texts:
+        options = [score(i, t) for t in range(1, ends + 1)]
+        assert min(options) - 1e-6 <= got[i] <= max(options) + 1e-6
+    assert max(options) - min(options) < 0.2
+
+
+def test_order_of_words_counts(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{k}" for k in range(60)]
+    follow = rng.permutation(60)
+
+    def text():
+        out = [int(rng.integers(60))]
+        for _ in range(80):
+            out.append(int(follow[out[-1]]) if rng.random() < 0.8 else int(rng.integers(60)))
+        return out
+
+    ids = iter(range(10_000))
+    learned = [row(next(i for i in ids if not held_out(i, 7, 2)), " ".join(words[k] for k in text())) for _ in range(60)]
+    fresh = [text() for _ in range(10)]
+    ordered = [row(next(i for i in ids if held_out(i, 7, 2)), " ".join(words[k] for k in t)) for t in fresh]
+    shuffled = [
+        row(next(i for i in ids if held_out(i, 7, 2)), " ".join(words[k] for k in rng.permutation(t))) for t in fresh
+    ]
+    got = {r["doc_id"]: r for r in lm.score(spark.createDataFrame(learned + ordered + shuffled, SCHEMA)).collect()}
+    mean = lambda rows, column: np.mean([got[r[0]][column] / got[r[0]]["n_tokens"] for r in rows])
+    assert mean(ordered, "base_score") == pytest.approx(mean(shuffled, "base_score"))
+    assert mean(ordered, "score") > mean(shuffled, "score") + 0.5
+    # Near what the source itself leaves open: 0.8 * log(0.8) + ..., about 0.7 digits a word.
+    assert -0.85 < mean(ordered, "score") < -0.6
+
+
+def test_chunks_do_not_change_scores(spark, monkeypatch, plain):
+    rows = spark.createDataFrame(plain[:60], "doc_id bigint, text string").coalesce(1)
+    whole = {r["doc_id"]: r["score"] for r in lm.score(rows).collect()}
+    monkeypatch.setattr(lm, "CHUNK_TOKENS", 5_000)
+    assert lm.chunks(rows, 4).where("bucket IS NULL").count() > 2
+    parts = {r["doc_id"]: r["score"] for r in lm.score(rows).collect()}
+    # Words are numbered in another order, so other numbers are drawn.
+    assert parts == pytest.approx(whole, rel=0.01)
 
 
 # Personal data
