@@ -1,8 +1,13 @@
 """Short benchmark items, and blocks of a benchmark with repeated items."""
 
+import random
+import time
 from collections import Counter
 
+import pytest
+
 from tests.llm.conftest import SCHEMA, prose, row
+from tests.llm.test_models import brute_tiles
 from voltlake.llm import decontaminate
 
 SCHEMA_OF_ITEMS = "item_id bigint, text string"
@@ -37,3 +42,24 @@ def test_blocks_hold_a_repeated_item_once_and_are_within_their_size(spark):
     docs = spark.createDataFrame([row(1, texts[0]), row(2, texts[3])], SCHEMA)
     got = Counter(tuple(r)[:2] for r in decontaminate.contaminated(docs, benchmark, block_bytes=1000).collect())
     assert got == {(1, 0): 501, (2, 3): 1}
+
+
+def test_tiles_of_repetitive_texts_as_defined():
+    rng = random.Random(4)
+    for k in range(150):
+        letters = "ab" if k % 2 else "abcd"
+        item = " ".join(rng.choices(letters, k=rng.randrange(5, 40)))
+        text = " ".join(rng.choices(letters + "x" * (k % 3), k=rng.randrange(90)))
+        if k % 5 == 0:
+            text += " " + " ".join([item[: len(item) // 2 * 2 // 2], "x", item[len(item) // 2 :].strip()])
+        want = brute_tiles(text, item)
+        found = decontaminate.Items([(1, item)], coverage=0.0).tiles(text)
+        assert (found[0][1] if found else 0) == pytest.approx(want)
+
+
+def test_long_repetitions_stay_small():
+    start = time.perf_counter()
+    items = decontaminate.Items([(1, "a " * 2_000), (2, "a b " * 1_000), (3, "a a b " * 300)])
+    assert items.tiles("a " * 200_000) == [(1, 1.0, 1)]
+    assert {i for i, *_ in items.tiles("a a b " * 60_000)} == {3}
+    assert time.perf_counter() - start < 10

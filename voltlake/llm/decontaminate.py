@@ -1,9 +1,9 @@
 """Operator 8: benchmark decontamination by greedy string tiling.
 
 Texts and benchmark items are word sequences, without case or ASCII punctuation. A rolling (Karp-Rabin) hash
-of every ``MIN_TILE`` words in a document is looked up among those of the benchmark. Hits are checked word by
-word and joined into maximal matches between the document and the item. The longest match is marked as a
-tile, matches that overlap it are cut back, and so on while ``MIN_TILE`` words are left. An item is in a
+of every ``MIN_TILE`` words in a document is looked up among those of the benchmark. With an item whose words these
+seeds can cover, hashes of longer runs find the longest match. It is checked word by word and marked as a tile, and so
+on among the words that are left, while ``MIN_TILE`` of them match. An item is in a
 document if tiles cover at least ``COVERAGE`` of its words, in whatever order they come. An item of fewer than
 ``MIN_TILE`` words is one seed of its own length: it is in a document if it occurs there as a whole.
 
@@ -14,7 +14,6 @@ for a single larger item); more blocks mean more passes inside the same job, not
 
 from __future__ import annotations
 
-import heapq
 import string
 from collections import defaultdict
 from collections.abc import Iterator
@@ -30,6 +29,7 @@ MIN_TILE = 5
 COVERAGE = 0.8
 BLOCK_BYTES = 16 << 20
 BASE = np.uint64(0x100000001B3)
+INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 _SPACED = bytes(string.punctuation, "ascii")
 TABLE = bytes.maketrans(_SPACED, b" " * len(_SPACED))
@@ -81,67 +81,118 @@ class Items:
 
     def _found(self, ids: np.ndarray, size: int) -> list[tuple[int, float, int]]:
         seeds, seed_item, seed_place = self.seeds[size]
-        hashes = rolling(ids, size)
+        # Every seed of an item counts once, however often it occurs in the text.
+        hashes = np.unique(rolling(ids, size))
         low = np.searchsorted(seeds, hashes, "left")
-        at = np.flatnonzero((low < len(seeds)) & (seeds[np.minimum(low, len(seeds) - 1)] == hashes))
-        if not len(at):
+        many = np.searchsorted(seeds, hashes, "right") - low
+        if not many.any():
             return []
-        many = np.searchsorted(seeds, hashes[at], "right") - low[at]
-        p = np.repeat(at, many)
-        seed = np.repeat(low[at] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        seed = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
         item, q = seed_item[seed], seed_place[seed]
-        order = np.lexsort((p, p - q, item))
-        item, p, q = item[order], p[order], q[order]
-        found = []
+        order = np.lexsort((q, item))
+        item, q = item[order], q[order]
+        found, running = [], None
         bounds = np.concatenate([[0], np.flatnonzero(np.diff(item)) + 1, [len(item)]])
         for lo, hi in zip(bounds, bounds[1:], strict=False):
             own = self.items[item[lo]]
-            result = self._tile(ids, own, p[lo:hi], q[lo:hi], size)
-            if result and result[0] >= self.coverage * len(own):
-                found.append((int(item[lo]), result[0] / len(own), result[1]))
+            reach = np.zeros(len(own) + 1, dtype=np.int64)
+            reach[q[lo:hi]] += 1
+            reach[q[lo:hi] + size] -= 1
+            if (np.cumsum(reach)[:-1] > 0).sum() < self.coverage * len(own):
+                continue
+            running = Running(ids) if running is None else running
+            covered, tiles = tile(running, Running(own), size)
+            if covered >= self.coverage * len(own):
+                found.append((int(item[lo]), covered / len(own), tiles))
         return found
 
-    def _tile(self, ids: np.ndarray, own: np.ndarray, p: np.ndarray, q: np.ndarray, size: int) -> tuple[int, int] | None:
-        """Words covered and number of tiles, from seeds sorted by diagonal; None if too few can be."""
-        same = np.ones(len(p), dtype=bool)
-        for k in range(size):
-            same &= ids[p + k] == own[q + k]
-        p, q = p[same], q[same]
-        reach = np.zeros(len(own) + 1, dtype=np.int64)
-        np.add.at(reach, q, 1)
-        np.add.at(reach, q + size, -1)
-        if (np.cumsum(reach)[:-1] > 0).sum() < self.coverage * len(own):
-            return None
-        starts = np.flatnonzero((np.diff(p - q, prepend=p[0] - q[0] - 1) != 0) | (np.diff(p, prepend=-2) != 1))
-        lengths = np.diff(np.concatenate([starts, [len(p)]])) + size - 1
-        heap = [(-int(n), int(p[s]), int(q[s])) for n, s in zip(lengths, starts, strict=True)]
-        heapq.heapify(heap)
-        in_text: set[int] = set()
-        in_item = np.zeros(len(own), dtype=bool)
-        tiles = 0
-        while heap and not in_item.all():
-            n, a, b = heapq.heappop(heap)
-            n = -n
-            free = [k for k in range(n) if not in_item[b + k] and a + k not in in_text]
-            if len(free) == n:
-                in_item[b : b + n] = True
-                in_text.update(range(a, a + n))
-                tiles += 1
-                continue
-            start = 0
-            for k in range(1, len(free) + 1):
-                if k == len(free) or free[k] != free[k - 1] + 1:
-                    if k - start >= size:
-                        heapq.heappush(heap, (-(k - start), a + free[start], b + free[start]))
-                    start = k
-        return int(in_item.sum()), tiles
+
+class Running:
+    """Word numbers whose runs of any length are hashed (Karp-Rabin, modulo 2**64) in one step each."""
+
+    def __init__(self, ids: np.ndarray):
+        self.ids = ids
+        self.used = np.zeros(len(ids), dtype=bool)
+        powers = np.full(len(ids) + 1, BASE)
+        powers[0] = 1
+        self.up = np.multiply.accumulate(powers)
+        powers[1:] = INVERSE
+        down = np.multiply.accumulate(powers)[1:]
+        self.sums = np.concatenate([[np.uint64(0)], np.cumsum(spread(ids) * down, dtype=np.uint64)])
+
+    def hashes(self, at: np.ndarray, size: int) -> np.ndarray:
+        """Of the runs of ``size`` words from each place."""
+        return (self.sums[at + size] - self.sums[at]) * self.up[at]
+
+    def free(self, at: np.ndarray, size: int, marked: np.ndarray) -> np.ndarray:
+        """The places whose runs are within the text and not marked; ``marked`` counts the words before a place."""
+        at = at[at + size <= len(self.ids)]
+        return at[marked[at + size] == marked[at]]
+
+
+def tile(text: Running, item: Running, size: int) -> tuple[int, int]:
+    """Words of the item covered by greedy tiles of at least ``size`` words, and the number of tiles.
+
+    The longest length that has a match between unmarked words is found by bisection, as every match has
+    shorter ones in it. All tiles of that length are marked, the first place in the text and in the item first, and
+    the search goes on below it. No pair of places is ever spelled out, so repetitions cost no more than others.
+    """
+    places = np.arange(len(item.ids))
+    starts = np.arange(len(text.ids) - size + 1)
+    starts = starts[np.isin(text.hashes(starts, size), item.hashes(places[: len(places) - size + 1], size))]
+    tiles, longest = 0, min(len(item.ids), len(text.ids))
+    while longest >= size and not item.used.all():
+        marked = [np.concatenate([[0], np.cumsum(x.used)]) for x in (text, item)]
+
+        def matches(length: int, marked=marked) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            b = item.free(places, length, marked[1])
+            wanted = item.hashes(b, length)
+            a = text.free(starts, length, marked[0])
+            return a[np.isin(text.hashes(a, length), wanted)], b, wanted
+
+        low, high = size - 1, longest
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if len(matches(middle)[0]) else (low, middle - 1)
+        if low < size:
+            break
+        tiles += mark(text, item, low, *matches(low))
+        longest = low - 1
+    return int(item.used.sum()), tiles
+
+
+def mark(text: Running, item: Running, length: int, at: np.ndarray, places: np.ndarray, hashes: np.ndarray) -> int:
+    """Mark tiles of one length, the number of which is returned."""
+    open_ = defaultdict(list)
+    for b, value in zip(places.tolist()[::-1], hashes.tolist()[::-1], strict=True):
+        open_[value].append(b)
+    tiles, end = 0, -1
+    for a, value in zip(at.tolist(), text.hashes(at, length).tolist(), strict=True):
+        if not open_:
+            break
+        if a < end or value not in open_:
+            continue
+        own = open_[value]
+        while own and item.used[own[-1] : own[-1] + length].any():
+            own.pop()
+        if not own:
+            del open_[value]
+        elif (text.ids[a : a + length] == item.ids[own[-1] : own[-1] + length]).all():
+            item.used[own[-1] : own[-1] + length] = True
+            text.used[a : a + length] = True
+            tiles, end = tiles + 1, a + length
+    return tiles
+
+
+def spread(ids: np.ndarray) -> np.ndarray:
+    return (ids + 2).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
 
 def rolling(ids: np.ndarray, size: int) -> np.ndarray:
     """Karp-Rabin hash of every run of ``size`` words, modulo 2**64."""
     count = max(0, len(ids) - size + 1)
     out = np.zeros(count, dtype=np.uint64)
-    values = (ids + 2).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    values = spread(ids)
     for k in range(size):
         out = out * BASE + values[k : k + count]
     return out
