@@ -11,6 +11,7 @@ import pytest
 
 from tests.llm.conftest import SCHEMA, prose, row
 from voltlake.llm import boosting, decontaminate, language, lm, pii
+from voltlake.llm.common import hash_sample
 from voltlake.llm.pitman_yor import draw_tables, many
 from voltlake.llm.queries import QUERIES
 
@@ -419,3 +420,36 @@ def test_decontamination_of_awkward_rows(spark, awkward, nothing):
     assert decontaminate.contaminated(nothing, benchmark).isEmpty()
     assert decontaminate.contaminated(awkward, benchmark.limit(0)).isEmpty()
     assert decontaminate.drop_contaminated(awkward, benchmark.limit(0)).count() == awkward.count()
+
+
+# Samples
+
+
+def test_samples_are_bounded_for_each_key_and_do_not_depend_on_order(spark):
+    rows = [("hot", k % 5_000, f"t{k}") for k in range(20_000)] + [("rare", None, f"r{k}") for k in range(3)]
+    rows += [(f"l{k}", k, "x") for k in range(1_500)] + [(None, 1, "n")]
+    table = spark.createDataFrame(rows, "lang string, doc_id bigint, text string")
+    got = [
+        Counter(tuple(r) for r in hash_sample(t, "lang", 50, "doc_id", "text").collect() if r["lang"] is not None)
+        for t in (table.repartition(7), table.coalesce(1).orderBy("text"))
+    ]
+    assert got[0] == got[1]
+    sizes = Counter(r[0] for r in got[0].elements())
+    assert sizes["hot"] == 50 and sizes["rare"] == 3 and len(sizes) == 1_502
+
+
+def test_any_number_of_labels_and_rows_without_doc_ids(spark):
+    rows = [row(None, prose(k, 20), f"l{k % 1_500}") for k in range(1_500)]
+    learned = next(k for k in range(9) if not held_out(k, 3, 1))
+    rows += [row(learned, prose(k, 20), "same") for k in range(30)]
+    trees = language.learn(spark.createDataFrame(rows, SCHEMA), sample_rows=10)
+    assert len(trees.languages) == 1_501
+
+
+def test_a_kind_that_is_rare_is_learned(spark):
+    rows = [row(k, f"{prose(k, 8)} order {k} {k * 37 % 9973}") for k in range(4_000)]
+    rows += [row(10_000 + k, f"{prose(k, 8)} mail jo.{k}@site{k}.example.org now") for k in range(60)]
+    model = pii.learn(spark.createDataFrame(rows, SCHEMA).repartition(3), sample_rows=500)
+    assert model.thresholds[pii.KINDS.index("email")] <= 1
+    _, spans = model.spans("please write to jo.smith [at] site9 [dot] example [dot] org today")
+    assert [pii.KINDS[s[0]] for s in spans] == ["email"]

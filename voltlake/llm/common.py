@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voltlake.sources.staging import new_folder
@@ -14,6 +14,10 @@ from voltlake.sources.staging import new_folder
 #: Rows handed to Python code at a time inside a task: bounds what one step holds, not what it reads.
 STEP_ROWS = 512
 STEP_BYTES = 8 << 20
+#: Keys that a sample names in its plan; with more of them all rows are ranked.
+NAMED_KEYS = 10_000
+#: Slices in which the rows of a key are ranked first.
+SLICES = 64
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +72,28 @@ def item_blocks(items: DataFrame, block_bytes: int, finer: int = 16) -> Iterator
         yield sorted(map(tuple, block.collect()), key=repr)
 
 
+def hash_sample(rows: DataFrame, key: str, size: int, *marks: str) -> DataFrame:
+    """At most ``size`` rows of each ``key``: those with the smallest hashes of the columns ``marks``.
+
+    The rows of each key are counted first, and hashes far above those needed are left out by the scan, so what is
+    ranked stays near ``size`` rows a key however many there are, and a frequent key is ranked in slices first.
+    """
+    mark, part, n = fresh(rows, "mark"), fresh(rows, "part"), fresh(rows, "n")
+    marked = rows.withColumn(mark, F.xxhash64(*marks))
+    counts = rows.groupBy(key).count().limit(NAMED_KEYS + 1).collect()
+    if 0 < len(counts) <= NAMED_KEYS:
+        # With four times as many expected, fewer than ``size`` below the bound are out of the question.
+        bound = {k: min(1.0, max(4 * size, 100) / count) * 2**64 - 2**63 for k, count in counts if k is not None}
+        pairs = [F.lit(x) for k, b in bound.items() for x in (k, min(int(b), 2**63 - 1))]
+        marked = marked.where(F.col(mark) <= F.create_map(*pairs)[F.col(key)])
+    order = [F.col(f"`{c}`") for c in [mark, *marks]]
+    marked = marked.withColumn(part, F.pmod(mark, F.lit(SLICES)))
+    for by in ([key, part], [key]):
+        marked = marked.withColumn(n, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+        marked = marked.where(F.col(n) <= size).drop(n)
+    return marked.drop(mark, part)
+
+
 def written(rows: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
     """``rows`` written once to the shared folder, in subfolders by the columns ``by``, and read back.
 

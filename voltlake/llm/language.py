@@ -20,15 +20,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
-from voltlake.llm.common import fresh, steps
+from voltlake.llm.common import fresh, hash_sample, steps
 
 ORDER = 3
 #: Labelled rows of each language that the trees are counted over.
 SAMPLE_ROWS = 400
-#: More different labels than this are an error, since the sample grows with them.
-MOST_LANGUAGES = 1000
 #: A text that costs more bits for each byte than this in every language is in none of them. Prose takes
 #: 2 to 3, short texts full of numbers and capitals up to 8, a script that was never seen about 20.
 MOST_BITS = 12.0
@@ -181,24 +178,13 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> ContextTrees:
     """Trees over at most ``sample_rows`` labelled rows of each language, whole texts.
 
     Rows whose crc32(doc_id) leaves the remainder HELD_OUT, or whose text or lang is null, are not used. The
-    sample of a language has the smallest hashes of doc_id, so it does not depend on the order of rows. The
-    n-gram counts, which the sample bounds, come to the driver.
+    sample of a language has the smallest hashes of doc_id and text, so it does not
+    depend on the order of rows; rows without or with the same doc_id are rows like others. The n-gram counts, which
+    the sample bounds for each language, come to the driver.
     """
     usable = (fold() != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull()
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        docs.where(usable)
-        .select("doc_id", "lang")
-        .withColumn("nth", F.row_number().over(order))
-        .where(F.col("nth") <= sample_rows)
-        .select("doc_id")
-        .limit(MOST_LANGUAGES * sample_rows + 1)
-        .collect()
-    )
-    if len(chosen) > MOST_LANGUAGES * sample_rows:
-        raise ValueError(f"More than {MOST_LANGUAGES} languages")
-    ids = sorted({r["doc_id"] for r in chosen if r["doc_id"] is not None})
-    sample = docs.where(usable & F.col("doc_id").isin(ids)).select("lang", "text")
+    rows = docs.where(usable).select("lang", "text", "doc_id", F.xxhash64("text").alias("text_mark"))
+    sample = hash_sample(rows, "lang", sample_rows, "doc_id", "text_mark").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
