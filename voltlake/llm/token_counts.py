@@ -41,6 +41,7 @@ def flat_files(docs: DataFrame, tokenizer: str, end_id: int, block_tokens: int =
         end = np.array([end_id], dtype=kind)
         file, block, first = TaskContext.get().partitionId(), 0, 0
         held: list[np.ndarray] = []
+        size = 0
 
         def row(ids: np.ndarray | None, doc_ids: list | None) -> pa.RecordBatch:
             values = [file, block, None if ids is None else ids.tobytes(), doc_ids, first]
@@ -54,11 +55,15 @@ def flat_files(docs: DataFrame, tokenizer: str, end_id: int, block_tokens: int =
             first += len(doc_ids)
             for text in batch.column(1).to_pylist():
                 held += [own.encode(text, special=False).astype(kind), end]
-                while sum(map(len, held)) >= block_tokens:
-                    ids = np.concatenate(held)
-                    yield row(ids[:block_tokens], None)
+                size += len(held[-2]) + 1
+                if size < block_tokens:
+                    continue
+                ids = np.concatenate(held)
+                for k in range(0, size - block_tokens + 1, block_tokens):
+                    yield row(ids[k : k + block_tokens], None)
                     block += 1
-                    held = [ids[block_tokens:]]
+                held = [ids[len(ids) // block_tokens * block_tokens :]]
+                size = len(held[0])
         if any(map(len, held)):
             yield row(np.concatenate(held), None)
 

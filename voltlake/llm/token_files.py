@@ -48,7 +48,7 @@ def raw_blocks(docs: DataFrame, tokenizer: str, end_id: int = END_ID, block: int
         kind = id_type(own.size)
         file, number, start = TaskContext.get().partitionId(), 0, 0
         end = np.array([end_id], dtype=kind)
-        doc_ids, held = [], []
+        doc_ids, held, size = [], [], 0
 
         def flush(pieces: list[np.ndarray], part: int, parts: int) -> pa.RecordBatch:
             nonlocal number, start
@@ -63,9 +63,9 @@ def raw_blocks(docs: DataFrame, tokenizer: str, end_id: int = END_ID, block: int
         for batch in steps(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = np.concatenate([own.encode(text).astype(kind), end])
-                if held and sum(map(len, held)) + len(ids) > block:
+                if held and size + len(ids) > block:
                     yield flush(held, 0, 1)
-                    doc_ids, held = [], []
+                    doc_ids, held, size = [], [], 0
                 if len(ids) > block:
                     doc_ids = [doc_id]
                     pieces = [ids[k : k + block] for k in range(0, len(ids), block)]
@@ -75,6 +75,7 @@ def raw_blocks(docs: DataFrame, tokenizer: str, end_id: int = END_ID, block: int
                 else:
                     doc_ids.append(doc_id)
                     held.append(ids)
+                    size += len(ids)
         if held:
             yield flush(held, 0, 1)
 
