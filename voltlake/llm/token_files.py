@@ -35,7 +35,8 @@ BLOCK_FIELDS = "file int, block int, start bigint, doc_ids array<bigint>, sizes
 def raw_blocks(docs: DataFrame, tokenizer: str, end_id: int = END_ID, block: int = BLOCK) -> DataFrame:
     """Blocks of ids in doc_id order: BLOCK_FIELDS and ``ids`` (little-endian, 2 or 4 bytes each).
 
-    ``start`` counts the ids before the block in its file. A document longer than a block is alone in
+    ``start`` counts the ids before the block in its file. The last row of a file has no block but ``counts``, how
+    often each id of the vocabulary is in the file. A document longer than a block is alone in
     ``parts`` blocks. Nulls come first; rows with equal doc_id keep scan order.
     """
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -49,16 +50,21 @@ def raw_blocks(docs: DataFrame, tokenizer: str, end_id: int = END_ID, block: int
         file, number, start = TaskContext.get().partitionId(), 0, 0
         end = np.array([end_id], dtype=kind)
         doc_ids, held, size = [], [], 0
+        total = np.zeros(own.size, dtype=np.int64)
+
+        def row(*values) -> pa.RecordBatch:
+            return pa.record_batch(
+                [pa.array([v], t) for v, t in zip(values, RAW_TYPES, strict=True)], RAW_NAMES
+            )
 
         def flush(pieces: list[np.ndarray], part: int, parts: int) -> pa.RecordBatch:
             nonlocal number, start
             ids = np.concatenate(pieces)
+            np.add(total, np.bincount(ids, minlength=own.size), out=total)
             sizes = [len(p) for p in pieces]
-            values = [file, number, start, doc_ids, sizes, part, parts, ids.tobytes()]
+            out = row(file, number, start, doc_ids, sizes, part, parts, ids.tobytes(), None)
             number, start = number + 1, start + len(ids)
-            return pa.record_batch(
-                [pa.array([v], t) for v, t in zip(values, RAW_TYPES, strict=True)], RAW_NAMES
-            )
+            return out
 
         for batch in steps(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -78,13 +84,16 @@ def raw_blocks(docs: DataFrame, tokenizer: str, end_id: int = END_ID, block: int
                     size += len(ids)
         if held:
             yield flush(held, 0, 1)
+        if number:
+            yield row(file, number, start, None, None, None, None, None, total.tobytes())
 
-    return rows.select("doc_id", "text").mapInArrow(encode, f"{BLOCK_FIELDS}, ids binary")
+    return rows.select("doc_id", "text").mapInArrow(encode, f"{BLOCK_FIELDS}, ids binary, counts binary")
 
 
-RAW_NAMES = ["file", "block", "start", "doc_ids", "sizes", "part", "parts", "ids"]
+RAW_NAMES = ["file", "block", "start", "doc_ids", "sizes", "part", "parts", "ids", "counts"]
 RAW_TYPES = [
-    pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.binary(),
+    *[pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32(), pa.int32()],
+    *[pa.binary()] * 2,
 ]
 
 
@@ -98,12 +107,13 @@ def id_counts(blocks: DataFrame, vocabulary: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                total += np.bincount(np.frombuffer(ids.as_buffer(), id_type(vocabulary)), minlength=vocabulary)
+            for counts in batch.column(0):
+                total += np.frombuffer(counts.as_buffer(), dtype=np.int64)
         found = np.flatnonzero(total)
         yield pa.record_batch([pa.array(found, pa.int64()), pa.array(total[found])], ["id", "n"])
 
-    rows = blocks.select("ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    files = blocks.where("counts IS NOT NULL").select("counts")
+    rows = files.mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     counts = np.zeros(vocabulary, dtype=np.int64)
     for row in rows.collect():
         counts[row["id"]] = row["n"]
@@ -136,7 +146,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_
                     [*RAW_NAMES[:7], "checkpoints", "bits"],
                 )
 
-    coded = raw.mapInArrow(code, f"{BLOCK_FIELDS}, checkpoints array<int>, bits binary")
+    coded = raw.where("ids IS NOT NULL").drop("counts").mapInArrow(code, f"{BLOCK_FIELDS}, checkpoints array<int>, bits binary")
     coded.write.parquet(f"{folder}/blocks")
 
 
