@@ -468,9 +468,13 @@ def incremental_filtered(spark, sf_dir):
 
 @query
 def rolling_rebuild(spark, sf_dir):
-    gold = gold_so_far(spark, sf_dir)
-    recent = rolling_window(view(spark, sf_dir, "v_demand"), gold, event_day())
-    return upsert(gold, marts.state_demand_mart(recent), ("state", "region", "date"))
+    """Gold holds the days up to one, Silver also those after it; the refresh reads the partitions of the lookback."""
+    root, mart = new_folder(spark, "layers"), MARTS[0]
+    table = silver_table(feeds.STATE_DEMAND)
+    merge_into(view(spark, sf_dir, "v_demand"), silver_path(root, feeds.STATE_DEMAND), table)
+    merge_into(gold_so_far(spark, sf_dir), gold_path(root, mart), mart.table)
+    refresh_gold(spark, root, mart)
+    return read_table(spark, gold_path(root, mart)).drop(PERIOD)
 
 
 @query
