@@ -344,6 +344,11 @@ ORACLES: dict[str, str] = {
         then=f"SELECT {OBSERVED} FROM "
         + best("v_batches", "state, timestamp, source", "ingestion_timestamp DESC"),
     ),
+    "upsert_wider_batch": with_views(
+        "v_batches",
+        then=f"SELECT {OBSERVED}, CASE WHEN batch = 1 THEN region END AS region FROM "
+        + best("v_batches", "state, timestamp, source", "ingestion_timestamp DESC"),
+    ),
     "upsert_merge": NULL_SAFE,
     "upsert_null_safe": NULL_SAFE,
     "upsert_plain_keys": upserted("="),

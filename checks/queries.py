@@ -422,6 +422,16 @@ def upsert_out_of_order(spark, sf_dir):
     return read_table(spark, path).select(*OBSERVED)
 
 
+@query
+def upsert_wider_batch(spark, sf_dir):
+    """Only the second batch names the region: rows of the first read null there."""
+    path, rows = new_folder(spark, "table"), view(spark, sf_dir, "v_batches")
+    table = replace(OBSERVATIONS, newest=incremental.INGESTED)
+    merge_into(rows.where("batch = 0").select(*OBSERVED), path, table)
+    merge_into(rows.where("batch = 1").select(*OBSERVED, "region"), path, table)
+    return read_table(spark, path).select(*OBSERVED, "region")
+
+
 @query
 def upsert_merge(spark, sf_dir):
     path = new_folder(spark, "table")

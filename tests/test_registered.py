@@ -17,7 +17,9 @@ WRITES = {
     "rejected_payloads",
     "upsert_bootstrap",
     "upsert_empty_batch",
+    "rolling_rebuild",
     "upsert_merge",
+    "upsert_wider_batch",
     "upsert_out_of_order",
     "corrected_group_rebuild",
     "silver_stream",
