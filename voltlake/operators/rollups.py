@@ -47,7 +47,8 @@ ADEQUACY_MEASURES = (
 )
 
 
-#: Newest ingest time of the rows of a group, if a rollup is ``stamped``.
+#: Newest ingest time of the rows of a group, if a rollup is ``stamped``. It comes first among the aggregates, as in
+#: the rows that the stamp of a mart is taken from: in another order it would be another exchange to Spark.
 NEWEST = "_newest"
 
 
@@ -77,6 +78,7 @@ def state_demand_daily(demand: DataFrame, tz: str | None = None, stamped: bool =
     """Demand, frequency, provenance and capacity by state, region and day."""
     mw = F.col("demand_mw")
     return demand.groupBy("state", "region", day_column(tz)).agg(
+        *newest(stamped),
         F.avg(mw).alias("avg_demand_mw"),
         F.max(mw).alias("peak_demand_mw"),
         F.min(mw).alias("min_demand_mw"),
@@ -86,35 +88,34 @@ def state_demand_daily(demand: DataFrame, tz: str | None = None, stamped: bool =
         F.max("installed_in_state_mw").alias("installed_in_state_mw"),
         F.max("allocated_share_mw").alias("allocated_share_mw"),
         F.max("rolling_peak_24mo_mw").alias("rolling_peak_24mo_mw"),
-        *newest(stamped),
     )
 
 
 def national_demand_daily(demand: DataFrame, tz: str | None = None, stamped: bool = False) -> DataFrame:
     """National demand by day, all sources together."""
     return demand.groupBy(day_column(tz)).agg(
+        *newest(stamped),
         F.avg("demand_mw").alias("avg_national_demand_mw"),
         F.max("demand_mw").alias("peak_national_demand_mw"),
         F.min("demand_mw").alias("min_national_demand_mw"),
         F.count(F.lit(1)).alias("demand_observations"),
-        *newest(stamped),
     )
 
 
 def frequency_daily(frequency: DataFrame, tz: str | None = None, stamped: bool = False) -> DataFrame:
     """Grid frequency by day, all regions together."""
     return frequency.groupBy(day_column(tz)).agg(
+        *newest(stamped),
         F.avg("frequency_hz").alias("avg_frequency_hz"),
         F.min("frequency_hz").alias("min_frequency_hz"),
         F.max("frequency_hz").alias("max_frequency_hz"),
         F.count(F.lit(1)).alias("frequency_observations"),
-        *newest(stamped),
     )
 
 
 def fuel_daily(fuelmix: DataFrame, tz: str | None = None, stamped: bool = False) -> DataFrame:
     """Average generation by day and fuel."""
-    return fuelmix.groupBy(day_column(tz), "fuel").agg(F.avg("mw").alias("avg_mw"), *newest(stamped))
+    return fuelmix.groupBy(day_column(tz), "fuel").agg(*newest(stamped), F.avg("mw").alias("avg_mw"))
 
 
 def fuel_total(daily: DataFrame) -> DataFrame:
@@ -130,7 +131,7 @@ def fuel_pivot(daily: DataFrame, fuels: Sequence[str] = FUELS) -> DataFrame:
 def fuel_mix_daily(daily: DataFrame, fuels: Sequence[str] = FUELS) -> DataFrame:
     """Pivot and total in one pass: conditional aggregates need no second scan and no join."""
     stamp = newest(NEWEST in daily.columns, NEWEST)
-    return daily.groupBy("date").agg(*_per_fuel(fuels), _total(), *stamp)
+    return daily.groupBy("date").agg(*stamp, *_per_fuel(fuels), _total())
 
 
 def adequacy_daily(psp: DataFrame, stamped: bool = False) -> DataFrame:
@@ -141,27 +142,27 @@ def adequacy_daily(psp: DataFrame, stamped: bool = False) -> DataFrame:
     """
     measures = [F.max(name).alias(name) for name in ADEQUACY_MEASURES]
     keys = ["date", "region", "state"]
-    per_url = psp.groupBy(*keys, "source_url").agg(*measures, *newest(stamped))
+    per_url = psp.groupBy(*keys, "source_url").agg(*newest(stamped), *measures)
     return per_url.groupBy(*keys).agg(
-        *measures, F.min("source_url").alias("source_url"), *newest(stamped, NEWEST)
+        *newest(stamped, NEWEST), *measures, F.min("source_url").alias("source_url")
     )
 
 
 def demand_hourly(demand: DataFrame, tz: str | None = None, stamped: bool = False) -> DataFrame:
     """Demand by normalized state and hour."""
     return demand.groupBy(state_key(), hour_column(tz)).agg(
+        *newest(stamped),
         F.avg("demand_mw").alias("avg_demand_mw"),
         F.max("demand_mw").alias("peak_demand_mw"),
         F.min("demand_mw").alias("min_demand_mw"),
         F.count(F.lit(1)).alias("demand_observations"),
-        *newest(stamped),
     )
 
 
 def weather_hourly(weather: DataFrame, tz: str | None = None, stamped: bool = False) -> DataFrame:
     """Weather averages by normalized state and hour."""
     return weather.groupBy(state_key(), hour_column(tz)).agg(
-        *[F.avg(name).alias(name) for name in WEATHER_MEASURES], *newest(stamped)
+        *newest(stamped), *[F.avg(name).alias(name) for name in WEATHER_MEASURES]
     )
 
 
