@@ -342,6 +342,51 @@ def test_personal_data_of_awkward_rows(awkward, nothing):
     assert pii.find(nothing, pii.learn(nothing)).isEmpty()
 
 
+def test_unknown_proposals_count_by_their_chance():
+    rng = np.random.default_rng(1)
+    x = rng.random((6000, 2))
+    true = x[:, 0] > 0.6
+    right = true & (rng.random(6000) < 0.3)
+    known = right | (~true & (rng.random(6000) < 0.1))
+    held, group = rng.random(6000) < 0.3, np.zeros(6000, dtype=int)
+    y = boosting.chances(x, right, known, held, group, right)
+    assert (y[known] == right[known]).all()
+    assert y[~known & true].mean() > 0.8 and y[~known & ~true].mean() < 0.05
+    no = np.zeros(6000, dtype=bool)
+    none = boosting.chances(x, no, known & ~true, held, group, no)
+    assert not none.any()
+    assert (boosting.chances(x, true, np.ones(6000, dtype=bool), held, group, true) == true).all()
+
+
+def disguised_rows():
+    """Rows, with the planted span of each (None: clean): half of the phone numbers are not in the strict form."""
+    rng, out = np.random.default_rng(3), []
+    for k in range(1500):
+        a, b, c = rng.integers(200, 999), rng.integers(100, 999), rng.integers(1000, 9999)
+        kind = k % 3
+        if kind == 0:
+            span = f"+1 {a} {b} {c}"
+        elif kind == 1:
+            span = ("{}-{}-{}", "({}) {} {}", "{}.{}.{}")[rng.integers(3)].format(a, b, c)
+        else:
+            span = f"{rng.integers(1900, 2100)}-{rng.integers(1, 13):02}-{rng.integers(1, 29):02}"
+        head = "on" if kind == 2 else ("call", "phone", "tel")[rng.integers(3)]
+        out.append((row(k, f"{prose(k, 9)} {head} {span} {prose(k + 1, 5)}"), None if kind == 2 else span, kind))
+    return out
+
+
+def test_precision_and_recall_where_disguised_data_is_common(spark):
+    planted = disguised_rows()
+    model = pii.learn(spark.createDataFrame([p[0] for p in planted], SCHEMA).repartition(3))
+    hits = wrong = wanted = 0
+    for (_, text, *_), span, kind in planted:
+        taken = [text[a:b] for _, a, b in model.spans(text)[1]]
+        wanted += kind == 1
+        hits += kind == 1 and span in taken
+        wrong += sum(t != span for t in taken)
+    assert hits >= 0.95 * wanted and wrong <= 0.02 * wanted
+
+
 def test_boosted_trees_learn_and_calibrate():
     rng = np.random.default_rng(0)
     x = rng.random((2000, 3))
