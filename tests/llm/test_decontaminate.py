@@ -44,6 +44,25 @@ def test_blocks_hold_a_repeated_item_once_and_are_within_their_size(spark):
     assert got == {(1, 0): 501, (2, 3): 1}
 
 
+def test_texts_are_sifted_once_for_many_blocks(spark):
+    items = [(k, prose(200 + k, 12)) for k in range(30)] + [(90, "Who was Ada?"), (91, "x"), (92, None), (93, "")]
+    texts = [f"{prose(k, 40)} {items[k % 30][1]} {prose(k + 1, 9)}" if k % 4 == 0 else prose(1000 + k, 50) for k in range(80)]
+    texts += ["He asked: WHO was (ada)", None, "", "an x. Or y"]
+    docs = spark.createDataFrame([row(k, t) for k, t in enumerate(texts)], SCHEMA)
+    benchmark = spark.createDataFrame(items, SCHEMA_OF_ITEMS)
+    one = decontaminate.contaminated(docs, benchmark)
+    many = decontaminate.contaminated(docs, benchmark, block_bytes=300)
+    assert len(list(decontaminate.benchmark_blocks(benchmark, 300))) > 5
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+    seeds = decontaminate.Seeds()
+    for block in decontaminate.benchmark_blocks(benchmark, 300):
+        seeds.add(block)
+    held = {r["doc_id"] for r in one.collect()}
+    assert len(held) == 22 and all(seeds.may_hold(texts[k]) for k in held)
+    scanned = many.inputFiles()
+    assert scanned and all("seeded" in f for f in scanned)
+
+
 def test_tiles_of_repetitive_texts_as_defined():
     rng = random.Random(4)
     for k in range(150):

@@ -9,12 +9,14 @@ document if tiles cover at least ``COVERAGE`` of its words, in whatever order th
 
 The benchmark is a stated query set held against all documents. It is taken in blocks of whole items, each
 different one once, cut where their text sizes add up to ``BLOCK_BYTES``, so what tasks receive is bounded (but
-for a single larger item); more blocks mean more passes inside the same job, not less work.
+for a single larger item). With more than one block the texts are sifted first, by a bitmap of the seeds of all blocks:
+one scan of all documents writes those with any seed, which are then held against each block.
 """
 
 from __future__ import annotations
 
 import string
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -23,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltlake.llm.common import id_and_text, item_blocks, steps
+from voltlake.llm.common import id_and_text, item_blocks, steps, written
 
 MIN_TILE = 5
 COVERAGE = 0.8
 BLOCK_BYTES = 16 << 20
+#: Bits of the hashes of seeds that the bitmap for several blocks tells apart: 32 MB, whatever their number.
+SEED_BITS = 28
 BASE = np.uint64(0x100000001B3)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
@@ -107,6 +111,34 @@ class Items:
         return found
 
 
+class Seeds:
+    """A bitmap of the seeds of any number of blocks: a text that holds none of them holds none of the items."""
+
+    def __init__(self):
+        self.bits = np.zeros(1 << (SEED_BITS - 3), dtype=np.uint8)
+        self.sizes: set[int] = set()
+
+    def add(self, block: Items) -> None:
+        # Words have other numbers in each block, so their checksums stand for them here.
+        codes = np.array([zlib.crc32(w) for w in block.number], dtype=np.int64)
+        for ids in block.items:
+            if len(ids):
+                size = min(block.min_tile, len(ids))
+                self.sizes.add(size)
+                byte, bit = self.slots(codes[ids], size)
+                np.bitwise_or.at(self.bits, byte, bit)
+
+    @staticmethod
+    def slots(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        top = (rolling(codes, size) >> np.uint64(64 - SEED_BITS)).astype(np.int64)
+        return top >> 3, (1 << (top & 7)).astype(np.uint8)
+
+    def may_hold(self, text: str | None) -> bool:
+        codes = np.array([zlib.crc32(w) for w in words(text)], dtype=np.int64)
+        slots = (self.slots(codes, size) for size in self.sizes)
+        return any((self.bits[byte] & bit).any() for byte, bit in slots)
+
+
 class Running:
     """Word numbers whose runs of any length are hashed (Karp-Rabin, modulo 2**64) in one step each."""
 
@@ -219,10 +251,21 @@ def contaminated(
     items each. Without documents or items there are no rows. Of ``benchmark`` (item_id
     bigint, text) and ``docs`` no other columns are read.
     """
-    rows = id_and_text(docs)
-    out = None
+    rows, context = id_and_text(docs), docs.sparkSession.sparkContext
+    blocks, seeds = [], Seeds()
     for items in benchmark_blocks(benchmark, block_bytes, min_tile, coverage):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
+        seeds.add(items)
+        blocks.append(context.broadcast(items))
+    if len(blocks) > 1:
+        sieve = context.broadcast(seeds)
+
+        def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in steps(batches):
+                yield batch.filter(pa.array([sieve.value.may_hold(t) for t in batch.column(1).to_pylist()], pa.bool_()))
+
+        rows = written(rows.mapInArrow(sift, rows.schema), "seeded")
+    out = None
+    for shared in blocks:
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in steps(batches):
