@@ -1,7 +1,10 @@
 """Every registered query against its SQL, and what their plans must not contain."""
 
 import inspect
+import shutil
+from pathlib import Path
 
+import duckdb
 import pytest
 
 import __spark_entry__ as driver
@@ -84,3 +87,20 @@ def test_library_collects_nothing():
     for module in (incremental, landing, rollups, upsert):
         source = inspect.getsource(module)
         assert ".collect(" not in source and ".toPandas(" not in source
+
+
+def test_layers_keep_payloads_of_one_state_and_time_apart(spark, tmp_path):
+    """Every event has a twin in its state at its time: from another source, with more demand, and warmer."""
+    for table in Path(SF).iterdir():
+        shutil.copyfile(table, tmp_path / table.name)
+    with duckdb.connect() as con:
+        con.execute(
+            f"""COPY (SELECT * FROM '{SF}/events.parquet' UNION ALL
+              SELECT event_id + 1000000, ts, user_id + 25,
+                CASE event_type WHEN 'error' THEN 'view' WHEN 'view' THEN 'error'
+                  WHEN 'click' THEN 'purchase' ELSE 'click' END,
+                value + 1, concat('{{"k": ', 100 + CAST(props->>'k' AS BIGINT), '}}')
+              FROM '{SF}/events.parquet') TO '{tmp_path}/events.parquet' (FORMAT parquet)"""
+        )
+    _, problem = difference(spark, connect(tmp_path), "layers_end_to_end", str(tmp_path))
+    assert not problem
