@@ -138,6 +138,31 @@ def test_probabilities_sum_to_one(spark, monkeypatch):
     assert total == pytest.approx(1, abs=1e-6)
 
 
+def test_every_previous_word_is_a_context_of_its_own(spark):
+    """Two words whose hashes agree in the 10 bits that contexts were once told apart by."""
+    bits: dict = {}
+    for k in range(10_000):
+        word = prose(k, 1).rstrip(".") + str(k)
+        one = bits.setdefault((zlib.crc32(word.encode()) * 0x9E3779B1 & 0xFFFFFFFF) >> 22, word)
+        if one != word:
+            break
+    ids = [k for k in range(400) if not held_out(k, 7, 2)]
+    held = [k for k in range(400, 800) if held_out(k, 7, 2)][:4]
+    rows = [row(ids.pop(), t) for t in [f"{one} left", f"{word} right"] * 20 + [prose(k, 30) for k in range(20)]]
+    asked = [f"{one} left", f"{one} right", f"{word} left", f"{word} right"]
+    rows += [row(k, t) for k, t in zip(held, asked, strict=True)]
+    got = {r["doc_id"]: r["score"] for r in lm.score(spark.createDataFrame(rows, SCHEMA)).collect()}
+    own, other, cross, same = (got[k] for k in held)
+    assert own - other + same - cross > 1
+
+
+def test_owners_of_contexts_make_no_difference(spark, monkeypatch):
+    rows = spark.createDataFrame([row(k, prose(k % 40, 30)) for k in range(60)], SCHEMA)
+    one = {r["doc_id"]: r["score"] for r in lm.score(rows).collect()}
+    monkeypatch.setattr(lm, "OWNED_WORDS", 10)
+    assert {r["doc_id"]: r["score"] for r in lm.score(rows).collect()} == pytest.approx(one)
+
+
 def test_scores_of_awkward_rows(awkward, nothing):
     got = lm.score(awkward).collect()
     want = Counter((r["doc_id"], len((r["text"] or "").encode().split()) + 1) for r in awkward.collect())

@@ -1,8 +1,8 @@
 """Operator 9: scoring by a hierarchical Pitman-Yor language model.
 
-The hierarchy has a restaurant for every context, which is the previous word (or the start of a text) hashed to one of
-``CONTEXTS``; above them one restaurant for words, whose customers are the tables of all contexts; and above it one for
-every context of up to ``ORDER`` letters: a table in the word restaurant is a word spelled once. A table in the
+The hierarchy has a restaurant for every context, which is the previous word (or the start of a text); above them one
+restaurant for words, whose customers are the tables of all contexts; and above it one for every context of up to
+``ORDER`` letters: a table in the word restaurant is a word spelled once. A table in the
 restaurant of a letter context is a customer in that of the context without its first letter, which all longer contexts
 with this ending share; the parent of the empty context is uniform. Seatings are sampled by Gibbs, each round drawing all
 table counts anew from their law given the parents (see ``pitman_yor``), and the predictive probabilities of the last
@@ -12,16 +12,18 @@ of all their spellings together.
 How it is spread out:
 
 1. Rows are read once. Each task turns its rows into word numbers of a vocabulary of its own (a chunk) and
-   sends the vocabulary with its training counts, and each word's contexts with theirs, split by hash, to buckets
-   of words.
+   sends the vocabulary with its training counts, split by hash, to buckets of words, which answer with each word's
+   number in them. Then it sends each word's contexts, as numbers of words, with their counts.
 2. A bucket holds its words' counts over all chunks. A frequent word is one number for each chunk and at most one
    for each chunk and context. Contexts lie across buckets, so no context's restaurant is in one place: its number
-   of tables is a sum over buckets.
-3. Nothing is kept of a seating. A draw depends on a seed and on sums over all buckets (tables by context, tables of
+   of tables is a sum over buckets, formed by the owner of the context's bucket and sent to those that ask for it.
+3. A word seen once after a context has one table there for certain. So between rounds buckets send, and ask for,
+   the tables of contexts that some word of theirs was seen after repeatedly.
+4. Nothing is kept of a seating. A draw depends on a seed and on sums over all buckets (tables by context, tables of
    words, spelled letters), so a task that needs the seating of a round repeats the rounds before it.
-4. The letter model has at most SYMBOLS**4 entries whatever the corpus is: letters, an end, and two half-byte
+5. The letter model has at most SYMBOLS**4 entries whatever the corpus is: letters, an end, and two half-byte
    symbols for any other byte. Its counts are summed by Spark and its restaurants sampled on the driver.
-5. Buckets answer each chunk with what is known of its words and their contexts, and chunks sum up their rows.
+6. Buckets answer each chunk with what is known of its words and their contexts, and chunks sum up their rows.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -43,8 +46,6 @@ from voltlake.llm.pitman_yor import THETA, discount_of, draw_tables
 
 FOLDS, HELD_OUT = 7, 2
 ORDER = 3
-#: Previous words are told apart by their hash up to so many; 16 bits at most.
-CONTEXTS = 1024
 END, PAD, SYMBOLS = 26, 43, 44
 #: A chunk is closed at so many different words or tokens.
 CHUNK_WORDS = 300_000
@@ -66,11 +67,15 @@ FLAT = np.array([s + [0] * (4 - len(s)) for s in SPELLING])
 
 
 def pack(values: np.ndarray) -> bytes:
-    return zstandard.compress(np.ascontiguousarray(values).tobytes(), 1)
+    """First bytes of all values, then second bytes and so on: most of the higher ones are zero."""
+    data = np.ascontiguousarray(values).reshape(-1).view(np.uint8).reshape(values.size, values.itemsize)
+    return zstandard.compress(data.T.tobytes(), 1)
 
 
 def unpack(data: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(data), dtype=kind)
+    size = np.dtype(kind).itemsize
+    values = np.frombuffer(zstandard.decompress(data), dtype=np.uint8)
+    return values.reshape(size, len(values) // size).T.copy().reshape(-1).view(kind)
 
 
 def letter_grams(words: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -175,20 +180,41 @@ def letter_table(grams: np.ndarray, n: np.ndarray, rng: np.random.Generator) ->
 
 
 CHUNK_SCHEMA = (
-    "chunk bigint, bucket int, words binary, counts binary, pair_sizes binary, pair_contexts binary, "
-    "pair_counts binary, doc_ids array<bigint>, held array<boolean>, sizes array<int>, tokens binary, contexts binary"
+    "chunk bigint, bucket int, words binary, counts binary, "
+    "doc_ids array<bigint>, held array<boolean>, sizes array<int>, tokens binary"
 )
 
 
-def context_of(hashes: np.ndarray) -> np.ndarray:
-    """Context that a word with this CRC-32 is to the word after it."""
-    return (hashes * 0x9E3779B1 & 0xFFFFFFFF) * CONTEXTS >> 32
+def context_of(words: np.ndarray) -> np.ndarray:
+    """Context that a word is to the word after it, both as numbers of words: itself."""
+    return words
 
 
-def token_pairs(places: np.ndarray, contexts: np.ndarray, start: int) -> np.ndarray:
-    """Word and context of each token as one number; ``start`` is the place of the end, which comes before a text."""
+def numbered(bucket: np.ndarray | int, places: np.ndarray) -> np.ndarray:
+    """Numbers of words, by bucket and place in it."""
+    return np.asarray(bucket, dtype=np.int64) << 32 | places.astype(np.int64)
+
+
+def by_bucket(numbers: np.ndarray) -> Iterator[tuple[int, np.ndarray, slice]]:
+    """Buckets, places in them and where they are, of word numbers grouped by bucket."""
+    found, starts = np.unique(numbers >> 32, return_index=True)
+    for k, lo, hi in zip(found.tolist(), starts, np.append(starts, len(numbers))[1:], strict=True):
+        yield k, (numbers[lo:hi] & 0xFFFFFFFF).astype("<u4"), slice(lo, hi)
+
+
+def token_pairs(places: np.ndarray, contexts: np.ndarray, start: int, n: int) -> np.ndarray:
+    """Word and context (of ``n``) of each token as one number; ``start`` is the place of the end, which comes before a
+    text."""
     before = np.concatenate([[start], places[:-1]])
-    return places.astype(np.int64) * CONTEXTS + contexts[before]
+    return places.astype(np.int64) * n + contexts[before]
+
+
+def rows_of(schema: str, rows: list[dict]) -> pa.Table:
+    """An Arrow table of a Spark schema; what a row lacks is null."""
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "binary": pa.binary()}
+    kinds |= {"array<bigint>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_()), "array<int>": pa.list_(pa.int32())}
+    columns = [column.strip().split(" ") for column in schema.split(",")]
+    return pa.table({name: pa.array([r.get(name) for r in rows], kinds[kind]) for name, kind in columns})
 
 
 def chunks(docs: DataFrame, buckets: int) -> DataFrame:
@@ -210,39 +236,19 @@ def chunks(docs: DataFrame, buckets: int) -> DataFrame:
             sizes = [len(x) for x in state["tokens"]]
             learned = ~np.repeat(np.array(state["held"]), sizes)
             counts = np.bincount(tokens[learned], minlength=len(words))
-            hashes = np.array([zlib.crc32(w) for w in words], dtype=np.int64)
-            bucket = hashes % buckets
+            bucket = np.array([zlib.crc32(w) for w in words], dtype=np.int64) % buckets
             order = np.argsort(bucket, kind="stable")
             place = np.empty(len(words), dtype=np.uint32)
             place[order] = np.arange(len(words))
-            contexts = context_of(hashes[order])
-            tokens = place[tokens]
-            pairs, which = np.unique(token_pairs(tokens, contexts, int(place[0])), return_inverse=True)
-            pair_counts = np.bincount(which[learned], minlength=len(pairs))
-            pair_sizes = np.bincount(pairs // CONTEXTS, minlength=len(words))
-            ends = np.concatenate([[0], np.cumsum(pair_sizes)])
-            pair_contexts = (pairs % CONTEXTS).astype("<u2")
             chunk = part << 24 | number
             found, starts = np.unique(bucket[order], return_index=True)
             for k, lo, hi in zip(found, starts, [*starts[1:], len(words)], strict=True):
-                own, mine = order[lo:hi], slice(ends[lo], ends[hi])
-                yield chunk_row(
-                    chunk=chunk,
-                    bucket=int(k),
-                    words=zstandard.compress(b" ".join([words[i] for i in own]), 1),
-                    counts=pack(counts[own]),
-                    pair_sizes=pack(pair_sizes[lo:hi].astype("<u4")),
-                    pair_contexts=pack(pair_contexts[mine]),
-                    pair_counts=pack(pair_counts[mine].astype("<u4")),
-                )
-            yield chunk_row(
-                chunk=chunk,
-                doc_ids=state["doc_ids"],
-                held=state["held"],
-                sizes=sizes,
-                tokens=pack(tokens),
-                contexts=pack(contexts.astype("<u2")),
-            )
+                own = order[lo:hi]
+                packed = zstandard.compress(b" ".join([words[i] for i in own]), 1)
+                row = {"chunk": chunk, "bucket": int(k), "words": packed, "counts": pack(counts[own])}
+                yield from rows_of(CHUNK_SCHEMA, [row]).to_batches()
+            bag = {"chunk": chunk, "doc_ids": state["doc_ids"], "held": state["held"], "sizes": sizes}
+            yield from rows_of(CHUNK_SCHEMA, [bag | {"tokens": pack(place[tokens])}]).to_batches()
 
         clear()
         for batch in steps(batches):
@@ -264,70 +270,85 @@ def chunks(docs: DataFrame, buckets: int) -> DataFrame:
     return id_and_text(docs).withColumn("held", held).mapInArrow(read, CHUNK_SCHEMA)
 
 
-CHUNK_TYPES = {
-    "chunk": pa.int64(),
-    "bucket": pa.int32(),
-    **dict.fromkeys(["words", "counts", "pair_sizes", "pair_contexts", "pair_counts"], pa.binary()),
-    "doc_ids": pa.list_(pa.int64()),
-    "held": pa.list_(pa.bool_()),
-    "sizes": pa.list_(pa.int32()),
-    **dict.fromkeys(["tokens", "contexts"], pa.binary()),
-}
+WORDS_SCHEMA = "bucket int, chunk bigint, places binary, words binary, counts binary, n bigint, v bigint"
 
 
-def chunk_row(**values) -> pa.RecordBatch:
-    arrays = [pa.array([values.get(name)], kind) for name, kind in CHUNK_TYPES.items()]
-    return pa.record_batch(arrays, list(CHUNK_TYPES))
-
-
-BUCKET_SCHEMA = (
-    "bucket int, chunk bigint, places binary, words binary, counts binary, "
-    "pair_sizes binary, pair_contexts binary, pair_counts binary, n bigint, v bigint"
-)
-
-
-def merge_bucket(table: pa.Table) -> pa.Table:
-    """The words of a bucket with their counts and contexts over all chunks, and where each chunk's words are in it."""
+def merge_words(table: pa.Table) -> pa.Table:
+    """The words of a bucket with their counts over all chunks, frequent ones first, and where each chunk's are in it."""
     vocabulary: defaultdict = defaultdict()
     vocabulary.default_factory = vocabulary.__len__
     bucket = table["bucket"][0].as_py()
-    places, counts, pairs, pair_counts = [], [], [], []
-    for row in table.select(["words", "counts", "pair_sizes", "pair_contexts", "pair_counts"]).to_batches(1):
-        words, n, sizes, contexts, own_counts = (row.column(k)[0].as_py() for k in range(5))
+    places, counts = [], []
+    for row in table.select(["words", "counts"]).to_batches(1):
+        words, n = (row.column(k)[0].as_py() for k in range(2))
         own = zstandard.decompress(words).split(b" ")
         places.append(np.fromiter(map(vocabulary.__getitem__, own), dtype=np.uint32, count=len(own)))
         counts.append(unpack(n, "<i8"))
-        keys = np.repeat(places[-1].astype(np.int64), unpack(sizes, "<u4")) * CONTEXTS + unpack(contexts, "<u2")
-        learned = unpack(own_counts, "<u4")
-        pairs.append(keys[learned > 0])
-        pair_counts.append(learned[learned > 0])
     total = np.zeros(len(vocabulary), dtype=np.int64)
     for at, n in zip(places, counts, strict=True):
         total[at] += n  # a chunk names a word once
-    keys, which = np.unique(np.concatenate(pairs), return_inverse=True)
-    summed = np.zeros(len(keys), dtype=np.int64)
-    np.add.at(summed, which, np.concatenate(pair_counts).astype(np.int64))
-    rows = len(places)
-    nothing = [None] * rows
+    words = list(vocabulary)
+    order = np.array(sorted(range(len(words)), key=lambda i: (-total[i], words[i])))
+    place = np.empty(len(words), dtype="<u4")
+    place[order] = np.arange(len(words))
+    rows = [
+        {"bucket": bucket, "chunk": chunk, "places": pack(place[at])}
+        for chunk, at in zip(table["chunk"].to_pylist(), places, strict=True)
+    ]
     whole = {
-        "words": zstandard.compress(b" ".join(vocabulary), 1),
-        "counts": pack(total),
-        "pair_sizes": pack(np.bincount(keys // CONTEXTS, minlength=len(total)).astype("<u4")),
-        "pair_contexts": pack((keys % CONTEXTS).astype("<u2")),
-        "pair_counts": pack(summed),
-    }
-    columns = {
-        "bucket": pa.array([bucket] * (rows + 1), pa.int32()),
-        "chunk": pa.array([*table["chunk"].to_pylist(), None], pa.int64()),
-        "places": pa.array([*map(pack, places), None], pa.binary()),
+        "bucket": bucket,
+        "words": zstandard.compress(b" ".join([words[i] for i in order]), 1),
+        "counts": pack(total[order]),
+        "n": int(total.sum()),
+        "v": int((total > 0).sum()),
     }
-    for name, value in whole.items():
-        # Of their contexts chunks want to know, so these stay with them.
-        asked = table[name].to_pylist() if name in ("pair_sizes", "pair_contexts") else nothing
-        columns[name] = pa.array([*asked, value], pa.binary())
-    columns["n"] = pa.array([*nothing, int(total.sum())], pa.int64())
-    columns["v"] = pa.array([*nothing, int((total > 0).sum())], pa.int64())
-    return pa.table(columns)
+    return rows_of(WORDS_SCHEMA, [*rows, whole])
+
+
+#: What a chunk asks a bucket: its words' places, of each the contexts (as numbers of words) and their training counts,
+#: and the places of contexts of the bucket; null if these are those of the words.
+ASKED_SCHEMA = (
+    "bucket int, chunk bigint, places binary, context_places binary, "
+    "pair_sizes binary, pair_contexts binary, pair_counts binary"
+)
+
+#: Of that, what its answer needs.
+ASKED = ("bucket", "chunk", "places", "context_places", "pair_sizes", "pair_contexts")
+#: Contexts after which a word was seen once, and those after which it was repeatedly, with their counts.
+PAIRS = ("once_sizes", "once_contexts", "again_sizes", "again_contexts", "again_counts")
+BUCKET_SCHEMA = (
+    "bucket int, chunk bigint, places binary, context_places binary, pair_sizes binary, pair_contexts binary, "
+    "words binary, counts binary, " + ", ".join(f"{name} binary" for name in PAIRS)
+)
+
+
+def merge_pairs(table: pa.Table) -> pa.Table:
+    """The words of a bucket with their contexts over all chunks, and what chunks ask for without its counts."""
+    rows, whole = [], {"words": None}
+    words, contexts, counts = ([np.zeros(0, dtype=np.int64)] for _ in range(3))
+    for batch in table.to_batches(1):
+        row = batch.to_pylist()[0]
+        if row["chunk"] is None:
+            whole = row
+            continue
+        learned = unpack(row["pair_counts"], "<u4")
+        places = np.repeat(unpack(row["places"], "<u4").astype(np.int64), unpack(row["pair_sizes"], "<u4"))
+        words.append(places[learned > 0])
+        contexts.append(unpack(row["pair_contexts"], "<i8")[learned > 0])
+        counts.append(learned[learned > 0].astype(np.int64))
+        rows.append({name: row[name] for name in ASKED})
+    if whole["words"] is not None:
+        size = len(unpack(whole["counts"], "<i8"))
+        names, context = np.unique(np.concatenate(contexts), return_inverse=True)
+        keys, which = np.unique(np.concatenate(words) * max(len(names), 1) + context, return_inverse=True)
+        n = np.bincount(which, weights=np.concatenate(counts), minlength=len(keys)).astype(np.int64)
+        word, context = keys // max(len(names), 1), names[keys % max(len(names), 1)]
+        packed = {"bucket": whole["bucket"], "words": whole["words"], "counts": whole["counts"]}
+        for name, those in (("once", n == 1), ("again", n > 1)):
+            packed[f"{name}_sizes"] = pack(np.bincount(word[those], minlength=size).astype("<u4"))
+            packed[f"{name}_contexts"] = pack(context[those])
+        rows.append(packed | {"again_counts": pack(n[n > 1])})
+    return rows_of(BUCKET_SCHEMA, rows)
 
 
 @dataclass
@@ -336,29 +357,35 @@ class Totals:
 
     tables: float
     customers: float
-    context_tables: np.ndarray
     discount: float
     #: Probability of all learned words together by the letters of the round.
     spelled: float = 0.0
 
 
 class Bucket:
-    """The words of a bucket, with the table counts of the rounds repeated so far."""
+    """The words of a bucket, with the table counts of the rounds repeated so far.
+
+    Only the tables of pairs seen repeatedly are drawn; pairs seen once have one.
+    """
 
     def __init__(self, row: dict):
         self.number = row["bucket"]
         self.words = zstandard.decompress(row["words"])
         self.counts = unpack(row["counts"], "<i8")
-        sizes = unpack(row["pair_sizes"], "<u4").astype(np.int64)
-        self.contexts = unpack(row["pair_contexts"], "<u2").astype(np.int64)
-        self.pair_counts = unpack(row["pair_counts"], "<i8")
-        self.word = np.repeat(np.arange(len(sizes)), sizes)
+        self.once = unpack(row["once_sizes"], "<u4").astype(np.int64)
+        again = unpack(row["again_sizes"], "<u4").astype(np.int64)
+        self.pair_counts = unpack(row["again_counts"], "<i8")
+        self.word = np.repeat(np.arange(len(again)), again)
+        self.contexts, self.context = np.unique(unpack(row["again_contexts"], "<i8"), return_inverse=True)
+        self.once_contexts = None if row.get("once_contexts") is None else unpack(row["once_contexts"], "<i8")
         self.seated = np.ones(len(self.word), dtype=np.int64)
-        self.customers = sizes
-        self.tables = np.minimum(sizes, 1)
-        self.spelled = np.zeros(len(sizes))
+        self.customers = self.once + again
+        self.tables = np.minimum(self.customers, 1)
+        self.spelled = np.zeros(len(again))
 
-    def draw(self, round_: int, letters: np.ndarray, discount: float, totals: Totals) -> None:
+    def draw(
+        self, round_: int, letters: np.ndarray, discount: float, totals: Totals, context_tables: np.ndarray
+    ) -> None:
         """The tables of contexts given those of words, then the tables of words given their spelling.
 
         The own tables of what is drawn are taken out of the sums, and out of its word in proportion.
@@ -369,9 +396,10 @@ class Bucket:
         others = self.customers[self.word] - self.seated
         kept = others * (1 - totals.discount * self.tables[self.word] / self.customers[self.word])
         parent = (np.maximum(kept, 0) + opened[self.word]) / (THETA + totals.customers - self.seated)
-        mass = (THETA + discount * (totals.context_tables[self.contexts] - self.seated)) * parent
+        mass = (THETA + discount * (context_tables[self.context] - self.seated)) * parent
         self.seated = draw_tables(self.pair_counts, mass, discount, rng)
-        self.customers = np.bincount(self.word, weights=self.seated, minlength=len(self.counts)).astype(np.int64)
+        again = np.bincount(self.word, weights=self.seated, minlength=len(self.counts)).astype(np.int64)
+        self.customers = self.once + again
         free = np.maximum(totals.tables - self.tables, 0)
         self.tables = draw_tables(self.customers, (THETA + totals.discount * free) * self.spelled, totals.discount, rng)
 
@@ -380,81 +408,182 @@ class Bucket:
         opened = (THETA + discount * after.tables) * self.spelled
         return (self.customers - discount * self.tables + opened) / (THETA + after.customers)
 
+    def all_contexts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All contexts, with the number of their words here and of these words' occurrences."""
+        contexts = np.concatenate([self.contexts[self.context], self.once_contexts])
+        found, at = np.unique(contexts, return_inverse=True)
+        counts = np.concatenate([self.pair_counts, np.ones(len(self.once_contexts), dtype=np.int64)])
+        n = np.bincount(at, weights=counts, minlength=len(found)).astype(np.int64)
+        return found, np.bincount(at, minlength=len(found)), n
+
 
-#: Keys of summed values: grams from 0 up; below, tables and tokens by context, then single numbers.
+#: Keys of summed values: grams from 0 up; below, single numbers.
 SINGLE = ("customers", "tables", "ones", "twos", "spelled", "pair_ones", "pair_twos")
 
+#: Sums over buckets, as keys and values, and messages to the buckets of contexts.
+STEP_SCHEMA = (
+    "key bigint, value double, owner int, sender int, wanted int, contexts binary, tables binary, tokens binary"
+)
+TABLES_SCHEMA = "bucket int, round int, sender int, places binary, tables binary, tokens binary"
+#: Buckets are put together in owners of about so many learned words, which sum up the tables of contexts.
+OWNED_WORDS = 50_000
 
-def sums(words: DataFrame, discount: float, rounds: list) -> tuple[dict[str, float], np.ndarray, np.ndarray, tuple]:
-    """Repeat ``rounds`` in all buckets and add up what they come to.
 
-    Returns single numbers, tables and tokens by context, and letter grams with their counts: at most
-    SYMBOLS**4 + 2 * CONTEXTS + 7 numbers reach the driver, as arrays.
-    """
+def owner_of(contexts: np.ndarray, owners: int) -> np.ndarray:
+    return (contexts >> 32) % owners
 
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                own = Bucket(batch.slice(k, 1).to_pylist()[0])
-                for number, (letters, totals) in enumerate(rounds):
-                    own.draw(number, letters.value, discount, totals)
-                grams, ends = letter_grams(own.words)
-                times = np.repeat(own.tables, np.diff(np.concatenate([[0], ends + 1])))
-                found, at = np.unique(grams, return_inverse=True)
-                n = np.bincount(at, weights=times, minlength=len(found))
-                single = [
-                    own.customers.sum(), own.tables.sum(), (own.customers == 1).sum(), (own.customers == 2).sum(),
-                    own.spelled[own.counts > 0].sum(), (own.pair_counts == 1).sum(), (own.pair_counts == 2).sum(),
-                ]
-                by_context = [
-                    np.bincount(own.contexts, weights=w, minlength=CONTEXTS) for w in (own.seated, own.pair_counts)
-                ]
-                below = np.concatenate([*by_context, single])
-                keys = np.concatenate([found[n > 0], -1 - np.arange(len(below))])
-                yield pa.record_batch(
-                    [pa.array(keys, pa.int64()), pa.array(np.concatenate([n[n > 0], below]))], ["key", "value"]
-                )
-
-    rows = words.mapInArrow(collect, "key bigint, value double").groupBy("key").agg(F.sum("value").alias("value"))
-    found = rows.toArrow()
+
+def replayed(rows: list[dict], owners: int, discount: float, rounds: list) -> Iterator[Bucket]:
+    """The bucket before the first of ``rounds`` and after each of them.
+
+    ``rows`` are the bucket's words and, for each round, the tables that it asked for.
+    """
+    own = Bucket(next(r for r in rows if r["words"] is not None))
+    yield own
+    for number, (letters, totals) in enumerate(rounds):
+        told = [r for r in rows if r.get("round") == number and r["sender"] is not None]
+        told.sort(key=lambda r: r["sender"])
+        tables = np.zeros(len(own.contexts), dtype="<i8")
+        order = np.lexsort((own.contexts, owner_of(own.contexts, owners)))
+        tables[order] = np.concatenate([tables[:0], *[unpack(r["tables"], "<i8") for r in told]])
+        own.draw(number, letters.value, discount, totals, tables)
+        yield own
+
+
+def step(rows: list[dict], owners: int, discount: float, rounds: list) -> pa.Table:
+    """Repeat ``rounds`` in a bucket: what it adds to the sums, and what it tells the owners of contexts."""
+    for own in replayed(rows, owners, discount, rounds):
+        pass
+    grams, ends = letter_grams(own.words)
+    times = np.repeat(own.tables, np.diff(np.concatenate([[0], ends + 1])))
+    found, at = np.unique(grams, return_inverse=True)
+    n = np.bincount(at, weights=times, minlength=len(found))
+    single = [
+        own.customers.sum(), own.tables.sum(), (own.customers == 1).sum(), (own.customers == 2).sum(),
+        own.spelled[own.counts > 0].sum(), own.once.sum(), (own.pair_counts == 2).sum(),
+    ]
+    keys = np.concatenate([found[n > 0], -1 - np.arange(len(single))])
+    sums = pa.table({"key": pa.array(keys, pa.int64()), "value": np.concatenate([n[n > 0], single])})
+    if rounds:
+        # Beyond the one table of each word that is known from the first step.
+        contexts, wanted = own.contexts, np.ones(len(own.contexts), dtype=bool)
+        tables = np.bincount(own.context, weights=own.seated - 1, minlength=len(contexts)).astype(np.int64)
+        tokens = None
+    else:
+        contexts, tables, tokens = own.all_contexts()
+        wanted = np.isin(contexts, own.contexts)
+    owner = owner_of(contexts, owners)
+    order = np.lexsort((contexts, ~wanted, owner))
+    found, starts = np.unique(owner[order], return_index=True)
+    messages = []
+    for k, lo, hi in zip(found.tolist(), starts, np.append(starts, len(order))[1:], strict=True):
+        mine = order[lo:hi]
+        messages.append(
+            {
+                "owner": k,
+                "sender": own.number,
+                "wanted": 0 if len(rounds) == ROUNDS else int(wanted[mine].sum()),
+                "contexts": pack(contexts[mine]),
+                "tables": pack(tables[mine].astype("<i8")),
+                "tokens": None if tokens is None else pack(tokens[mine]),
+            }
+        )
+    return pa.concat_tables([rows_of(STEP_SCHEMA, messages), sums], promote_options="default")
+
+
+def add_tables(table: pa.Table, number: int) -> pa.Table:
+    """The tables of all contexts of an owner, by bucket, and replies to the buckets that want some of them."""
+    owner, rows = table["owner"][0].as_py(), table.to_pylist()
+    told = [r for r in rows if r["sender"] is not None]
+    known = [r for r in rows if r["sender"] is None]
+    numbers = [unpack(r["contexts"], "<i8") for r in told]
+    numbers += [numbered(r["bucket"], unpack(r["places"], "<u4")) for r in known]
+    names, at = np.unique(np.concatenate(numbers), return_inverse=True)
+
+    def total(name: str, those: list[dict]) -> np.ndarray:
+        values = np.concatenate([unpack(r[name], "<i8") for r in those])
+        return np.bincount(at, weights=values, minlength=len(names)).astype("<i8")
+
+    tables = total("tables", told + known)
+    tokens = total("tokens", told) if number == 0 else None
+    replies, start = [], 0
+    for r, own in zip(told, numbers, strict=False):
+        if r["wanted"]:
+            values = pack(tables[at[start : start + r["wanted"]]])
+            replies.append({"bucket": r["sender"], "round": number, "sender": owner, "tables": values})
+        start += len(own)
+    for k, places, mine in by_bucket(names):
+        row = {"bucket": k, "round": number, "places": pack(places), "tables": pack(tables[mine])}
+        replies.append(row | {"tokens": None if tokens is None else pack(tokens[mine])})
+    return rows_of(TABLES_SCHEMA, replies)
+
+
+def summed(rows: DataFrame) -> tuple[dict[str, float], tuple[np.ndarray, np.ndarray]]:
+    """Single numbers, and letter grams with their counts: at most SYMBOLS**4 + 7 numbers reach the driver, as arrays."""
+    found = rows.where("key IS NOT NULL").groupBy("key").agg(F.sum("value").alias("value")).toArrow()
     keys, values = found["key"].to_numpy(), found["value"].to_numpy()
-    below = np.zeros(2 * CONTEXTS + len(SINGLE))
+    below = np.zeros(len(SINGLE))
     below[-1 - keys[keys < 0]] = values[keys < 0]
-    single = dict(zip(SINGLE, below[2 * CONTEXTS :].tolist(), strict=True))
-    grams = keys[keys >= 0], values[keys >= 0].astype(np.int64)
-    return single, below[:CONTEXTS], below[CONTEXTS : 2 * CONTEXTS], grams
+    return dict(zip(SINGLE, below.tolist(), strict=True)), (keys[keys >= 0], values[keys >= 0].astype(np.int64))
 
 
 def word_discount(single: dict[str, float]) -> float:
     return discount_of(np.array([1, 2]), np.array([single["ones"], single["twos"]]))
 
 
-def answer(asked: pa.Table, words: pa.Table, discount: float, rounds: list, after: list[Totals]) -> pa.Table:
+ANSWER_SCHEMA = (
+    "chunk bigint, bucket int, places binary, context_places binary, "
+    "counts binary, means binary, pairs binary, seats binary"
+)
+
+
+def answer(table: pa.Table, owners: int, discount: float, rounds: list, after: list[Totals]) -> pa.Table:
     """What a bucket tells its chunks: of each word the count and, by sample, the probability; of each word and context
-    the count and, by sample, the tables."""
-    own = Bucket(words.slice(0, 1).to_pylist()[0])
+    the count and, by sample, the tables; of each context the tokens and, by sample, the tables."""
+    asked = table.filter(pc.is_valid(table["chunk"]))
+    rows = table.filter(pc.is_null(table["chunk"])).to_pylist()
     probability, seated = [], []
-    for number, (letters, totals) in enumerate(rounds):
-        own.draw(number, letters.value, discount, totals)
-        if number >= ROUNDS - SAMPLES:
-            probability.append(own.probability(totals.discount, after[number]).astype("<f4"))
+    for number, own in enumerate(replayed(rows, owners, discount, rounds)):
+        if number > ROUNDS - SAMPLES:
+            probability.append(own.probability(rounds[number - 1][1].discount, after[number - 1]).astype("<f4"))
             seated.append(own.seated)
-    keys = own.word * CONTEXTS + own.contexts
-    known = np.append(np.stack([own.pair_counts, *seated]), np.zeros((1 + SAMPLES, 1), dtype=np.int64), axis=1)
-    columns: dict[str, list] = {"counts": [], "means": [], "pairs": []}
-    for row in asked.select(["places", "asked_sizes", "asked_contexts"]).to_batches(1):
-        places, sizes, contexts = (
-            unpack(row.column(k)[0].as_py(), kind) for k, kind in enumerate(("<u4", "<u4", "<u2"))
-        )
-        wanted = np.repeat(places.astype(np.int64), sizes) * CONTEXTS + contexts
+    ones = np.ones(len(own.once_contexts), dtype=np.int64)
+    names, context = np.unique(np.concatenate([own.contexts[own.context], own.once_contexts]), return_inverse=True)
+    keys = np.concatenate([own.word, np.repeat(np.arange(len(own.once)), own.once)]) * max(len(names), 1) + context
+    order = np.argsort(keys)
+    keys = keys[order]
+    known = np.stack([np.concatenate([x, ones])[order] for x in (own.pair_counts, *seated)])
+    known = np.append(known, np.zeros((1 + SAMPLES, 1), dtype=np.int64), axis=1)
+    # Contexts without a message have no tables.
+    seats = np.zeros((1 + SAMPLES, len(own.counts)), dtype="<i8")
+    for r in rows:
+        if r["words"] is None and r["sender"] is None:
+            sample = r["round"] - (ROUNDS - SAMPLES)
+            for k, name in ((0, "tokens"),) if r["round"] == 0 else ((sample, "tables"),) if sample > 0 else ():
+                seats[k, unpack(r["places"], "<u4")] = unpack(r[name], "<i8")
+    replies = []
+    for batch in asked.to_batches(1):
+        row = batch.to_pylist()[0]
+        places, sizes = unpack(row["places"], "<u4"), unpack(row["pair_sizes"], "<u4")
+        contexts = unpack(row["pair_contexts"], "<i8")
+        at = np.searchsorted(names, contexts)
+        there = at < len(names)
+        there[there] = names[at[there]] == contexts[there]
+        wanted = np.repeat(places.astype(np.int64), sizes) * max(len(names), 1) + at
         at = np.searchsorted(keys, wanted)
-        there = at < len(keys)
+        there &= at < len(keys)
         there[there] = keys[at[there]] == wanted[there]
-        columns["counts"].append(pack(own.counts[places]))
-        columns["means"].append(pack(np.stack(probability)[:, places]))
-        columns["pairs"].append(pack(known[:, np.where(there, at, len(keys))].astype("<u4")))
-    arrays = {name: pa.array(values, pa.binary()) for name, values in columns.items()}
-    return pa.table({"chunk": asked["chunk"].combine_chunks(), "bucket": asked["at_bucket"].combine_chunks(), **arrays})
+        named = np.sort(places) if row["context_places"] is None else unpack(row["context_places"], "<u4")
+        replies.append(
+            {
+                **{name: row[name] for name in ("chunk", "bucket", "places", "context_places")},
+                "counts": pack(own.counts[places]),
+                "means": pack(np.stack(probability)[:, places]),
+                "pairs": pack(known[:, np.where(there, at, len(keys))].astype("<u4")),
+                "seats": pack(seats[:, named]),
+            }
+        )
+    return rows_of(ANSWER_SCHEMA, replies)
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -469,55 +598,135 @@ def score(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     buckets = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     read = written(chunks(docs, buckets), "lm-chunks")
-    asked = ["words", "counts", "pair_sizes", "pair_contexts", "pair_counts"]
-    requests = read.where("bucket IS NOT NULL").select("chunk", "bucket", *asked)
-    merged = written(requests.groupBy("bucket").applyInArrow(merge_bucket, BUCKET_SCHEMA), "lm-buckets")
-    words = merged.where("chunk IS NULL").select("bucket", *asked)
-    n, v = (x or 0 for x in merged.agg(F.sum("n"), F.sum("v")).first())
+    requests = read.where("bucket IS NOT NULL").select("chunk", "bucket", "words", "counts")
+    vocabulary = written(requests.groupBy("bucket").applyInArrow(merge_words, WORDS_SCHEMA), "lm-words")
+    n, v = (x or 0 for x in vocabulary.agg(F.sum("n"), F.sum("v")).first())
+    owners = min(buckets, v // OWNED_WORDS + 1)
+
+    def pairs_of(replies: pa.Table, bags: pa.Table) -> pa.Table:
+        replies = replies.sort_by("at_bucket").to_pylist()
+        ids = np.concatenate([numbered(r["at_bucket"], unpack(r["places"], "<u4")) for r in replies])
+        row = bags.slice(0, 1).to_pylist()[0]
+        tokens, sizes = unpack(row["tokens"], "<u4"), np.array(row["sizes"])
+        contexts, context = np.unique(context_of(ids), return_inverse=True)
+        pairs, which = np.unique(
+            token_pairs(tokens, context, int(tokens[sizes[0] - 1]), len(contexts)), return_inverse=True
+        )
+        learned = ~np.repeat(np.array(row["held"]), sizes)
+        counts = np.bincount(which[learned], minlength=len(pairs)).astype("<u4")
+        pair_sizes = np.bincount(pairs // len(contexts), minlength=len(ids)).astype("<u4")
+        ends = np.concatenate([[0], np.cumsum(pair_sizes, dtype=np.int64)])
+        named = {k: places for k, places, _ in by_bucket(contexts)}
+        own = {k: (places, mine) for k, places, mine in by_bucket(ids)}
+        nothing = np.zeros(0, dtype="<u4")
+        rows = []
+        for k in sorted(named.keys() | own.keys()):
+            places, mine = own.get(k, (nothing, slice(0, 0)))
+            its = slice(ends[mine.start], ends[mine.stop])
+            same = np.array_equal(np.sort(places), named.get(k, nothing))
+            rows.append(
+                {
+                    "bucket": k,
+                    "chunk": row["chunk"],
+                    "places": pack(places),
+                    "context_places": None if same else pack(named.get(k, nothing)),
+                    "pair_sizes": pack(pair_sizes[mine]),
+                    "pair_contexts": pack(contexts[pairs[its] % len(contexts)]),
+                    "pair_counts": pack(counts[its]),
+                }
+            )
+        return rows_of(ASKED_SCHEMA, rows)
+
+    # Names of their own, as the columns of both sides of the cogroup are those of one table.
+    places = vocabulary.where("chunk IS NOT NULL").select("chunk", "bucket", "places")
+    places = places.toDF("of_chunk", "at_bucket", "places")
+    bags = read.where("bucket IS NULL").select("chunk", "doc_ids", "held", "sizes", "tokens")
+    asked = places.groupBy("of_chunk").cogroup(bags.drop("doc_ids").groupBy("chunk")).applyInArrow(pairs_of, ASKED_SCHEMA)
+    asked = asked.unionByName(
+        vocabulary.where("chunk IS NULL").select("bucket", "words", "counts"), allowMissingColumns=True
+    )
+    merged = written(asked.groupBy("bucket").applyInArrow(merge_pairs, BUCKET_SCHEMA), "lm-buckets")
+    words = merged.where("chunk IS NULL").select("bucket", "words", "counts", *PAIRS)
+
+    def first_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield from step(batch.slice(k, 1).to_pylist(), owners, 0.5, []).to_batches()
+
+    def exchanged(rows: DataFrame, number: int, types: DataFrame | None) -> DataFrame:
+        told = rows.where("key IS NULL").drop("key", "value")
+        if types is not None:
+            of = types.select((F.col("bucket") % owners).alias("owner"), "bucket", "places", "tables")
+            told = told.unionByName(of, allowMissingColumns=True)
+        return written(
+            told.groupBy("owner").applyInArrow(lambda table: add_tables(table, number), TABLES_SCHEMA), "lm-tables"
+        )
 
     rng = np.random.default_rng(RNG_SEED)
-    single, context_tables, context_tokens, grams = sums(words, 0.5, [])
+    rows = written(words.mapInArrow(first_step, STEP_SCHEMA), "lm-sums")
+    single, grams = summed(rows)
     pair_discount = discount_of(np.array([1, 2]), np.array([single["pair_ones"], single["pair_twos"]]))
+    tables = exchanged(rows, 0, None)
+    types = tables.where("sender IS NULL")
     rounds, after = [], []
-    for _ in range(ROUNDS):
-        totals = Totals(single["tables"], single["customers"], context_tables, word_discount(single))
+    for number in range(1, ROUNDS + 1):
+        totals = Totals(single["tables"], single["customers"], word_discount(single))
         rounds.append((spark.sparkContext.broadcast(letter_table(*grams, rng)), totals))
-        single, context_tables, _, grams = sums(words, pair_discount, rounds)
-        after.append(Totals(single["tables"], single["customers"], context_tables, totals.discount, single["spelled"]))
+        state = words.drop("once_contexts").unionByName(
+            tables.where("sender IS NOT NULL").drop("places", "tokens"), allowMissingColumns=True
+        )
+        # Written at once, so the rounds are those so far.
+        rows = written(
+            state.groupBy("bucket").applyInArrow(
+                lambda table: step(table.to_pylist(), owners, pair_discount, rounds), STEP_SCHEMA
+            ),
+            "lm-sums",
+        )
+        single, grams = summed(rows)
+        tables = tables.unionByName(exchanged(rows, number, types))
+        after.append(Totals(single["tables"], single["customers"], totals.discount, single["spelled"]))
 
-    # Names of their own, as the columns of both sides of the cogroup are those of one table.
-    places = merged.where("chunk IS NOT NULL").select("bucket", "chunk", "places", "pair_sizes", "pair_contexts")
-    places = places.toDF("at_bucket", "chunk", "places", "asked_sizes", "asked_contexts")
     answers = (
-        places.groupBy("at_bucket")
-        .cogroup(words.groupBy("bucket"))
-        .applyInArrow(
-            lambda left, right: answer(left, right, pair_discount, rounds, after),
-            "chunk bigint, bucket int, counts binary, means binary, pairs binary",
-        )
+        merged.unionByName(tables, allowMissingColumns=True)
+        .groupBy("bucket")
+        .applyInArrow(lambda table: answer(table, owners, pair_discount, rounds, after), ANSWER_SCHEMA)
     )
 
     def add_up(replies: pa.Table, rows: pa.Table) -> pa.Table:
-        replies = replies.sort_by("bucket")
-        c = np.concatenate([unpack(x.as_py(), "<i8") for x in replies["counts"]])
-        means = np.concatenate([unpack(x.as_py(), "<f4").reshape(SAMPLES, -1) for x in replies["means"]], axis=1)
-        pairs = np.concatenate([unpack(x.as_py(), "<u4").reshape(1 + SAMPLES, -1) for x in replies["pairs"]], axis=1)
+        replies = replies.sort_by("bucket").to_pylist()
+        places = [unpack(r["places"], "<u4") for r in replies]
+        named = [
+            np.sort(at) if r["context_places"] is None else unpack(r["context_places"], "<u4")
+            for r, at in zip(replies, places, strict=True)
+        ]
+        ids, contexts = (
+            np.concatenate([numbered(r["bucket"], at) for r, at in zip(replies, parts, strict=True)])
+            for parts in (places, named)
+        )
+        c = np.concatenate([unpack(r["counts"], "<i8") for r in replies])
+        means, pairs, seats = (
+            np.concatenate([unpack(r[name], kind).reshape(size, -1) if r[name] else np.zeros((size, 0)) for r in replies], axis=1)
+            for name, kind, size in (("means", "<f4", SAMPLES), ("pairs", "<u4", 1 + SAMPLES), ("seats", "<i8", 1 + SAMPLES))
+        )
         row = rows.slice(0, 1).to_pylist()[0]
         tokens = unpack(row["tokens"], "<u4")
         sizes = np.array(row["sizes"])
         first = np.cumsum(sizes) - sizes
         keys, which = np.unique(
-            token_pairs(tokens, unpack(row["contexts"], "<u2"), int(tokens[sizes[0] - 1])), return_inverse=True
+            token_pairs(
+                tokens, np.searchsorted(contexts, context_of(ids)), int(tokens[sizes[0] - 1]), len(contexts)
+            ),
+            return_inverse=True,
         )
-        word, context = keys // CONTEXTS, keys % CONTEXTS
+        word, context = keys // len(contexts), keys % len(contexts)
         model = np.zeros(len(keys))
         for k, totals in enumerate(after[ROUNDS - SAMPLES :]):
             opened = (THETA + totals.discount * totals.tables) / (THETA + totals.customers)
             unknown = max(opened * (1 - totals.spelled), 1e-300)
             parent = np.where(c > 0, means[k], unknown)[word]
             own = np.maximum(pairs[0] - pair_discount * pairs[1 + k], 0)
-            new = (THETA + pair_discount * totals.context_tables[context]) * parent
-            model += (own + new) / (THETA + context_tokens[context]) / SAMPLES
+            new = (THETA + pair_discount * seats[1 + k, context]) * parent
+            model += (own + new) / (THETA + seats[0, context]) / SAMPLES
         model = np.log10(model)[which]
         base = np.log10((c + 1) / (n + (v + 1)))
         known = np.add.reduceat((c > 0)[tokens].astype(np.int64), first)
@@ -534,7 +743,6 @@ def score(docs: DataFrame) -> DataFrame:
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
 
-    bags = read.where("bucket IS NULL").select("chunk", "doc_ids", "held", "sizes", "tokens", "contexts")
     return (
         answers.groupBy("chunk")
         .cogroup(bags.groupBy("chunk"))
