@@ -1,8 +1,10 @@
 import json
 from datetime import datetime
+from functools import reduce
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltlake.functions import content_hash
@@ -16,6 +18,7 @@ from voltlake.operators.landing import (
     missing_entities,
     request_window,
 )
+from voltlake.session import OPEN_FILES, unsorted_writes
 from voltlake.sources.bronze import append_bronze, bronze_schema, could_hold, land, landing_key, scan_bronze
 from voltlake.sources.feeds import FEEDS, FREQUENCY, PSP, STATE_DEMAND, STATES, WEATHER
 
@@ -162,3 +165,23 @@ def test_files_do_not_grow_with_tasks(spark, tmp_path):
     states = [f"s{k}" for k in range(200)]
     append_bronze(windowed(spark, WEATHER, states=states).repartition(40), path, WEATHER)
     assert len(list((tmp_path / "bronze").rglob("*.parquet"))) == 1
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_payloads_are_written_without_a_sort(spark, tmp_path, fmt):
+    """A sort by period would hold all rows of a task, however well they compress."""
+    path, days = str(tmp_path / "bronze"), [datetime(2024, month, 1) for month in range(1, 13)]
+    rows = reduce(DataFrame.unionByName, [windowed(spark, FREQUENCY, day) for day in days])
+    store = spark._jsparkSession.sharedState().statusStore()
+    append_bronze(rows, path, FREQUENCY, fmt)
+    plan = store.executionsList().last().physicalPlanDescription()
+    assert "WriteFiles" in plan and "Sort" not in plan
+    assert sorted(r.ingestion_timestamp for r in scan_bronze(spark, path, FREQUENCY, fmt).collect()) == days
+
+
+def test_rows_of_more_partitions_than_files_open_are_written(spark, tmp_path):
+    path, n = str(tmp_path / "rows"), 2 * OPEN_FILES + 1
+    rows = spark.range(0, 3 * n, numPartitions=1).withColumn("part", F.col("id") % n)
+    with unsorted_writes(spark):
+        rows.write.partitionBy("part").parquet(path)
+    assert {tuple(r) for r in spark.read.parquet(path).collect()} == {(k, k % n) for k in range(3 * n)}

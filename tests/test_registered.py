@@ -78,6 +78,16 @@ def test_marts_read_their_inputs_once(spark, name, most):
     assert 0 < scans <= most
 
 
+def test_rejected_payloads_are_written_without_a_sort(spark):
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsList().size()
+    QUERIES["rejected_payloads"](spark, SF)
+    runs = store.executionsList()
+    plans = [runs.apply(k).physicalPlanDescription() for k in range(before, runs.size())]
+    writes = [plan for plan in plans if "WriteFiles" in plan]
+    assert len(writes) == 2 and not any("Sort" in plan for plan in writes)
+
+
 def test_library_collects_nothing():
     import voltlake.operators.incremental as incremental
     import voltlake.operators.landing as landing
