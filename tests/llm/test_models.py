@@ -412,6 +412,32 @@ def test_precision_and_recall_where_disguised_data_is_common(spark):
     assert hits >= 0.95 * wanted and wrong <= 0.02 * wanted
 
 
+def test_personal_data_is_learned_from_all_rows(spark, monkeypatch):
+    """5,000 rows with a date and a phone number, and 400 without a doc_id that have an address each."""
+    head = [f"on 20{k % 90 + 10}-{k % 12 + 1:02}-{k % 28 + 1:02} call +1 212 555 {k % 9000 + 1000}" for k in range(5_000)]
+    rows = [row(k, f"{prose(k, 3)} {text}") for k, text in enumerate(head)]
+    rows += [row(None, f"mail me {k} times at jo.{k}@site.example.org") for k in range(400)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    seen, fit = [], boosting.fit_total
+    monkeypatch.setattr(boosting, "TREES", 4)
+
+    def watched(total, *rest):
+        seen.append(total(lambda block: np.array([block.n.sum(), block.n[block.group == 0].sum()])))
+        return fit(total, *rest)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(boosting, "fit_total", watched)
+        model = pii.learn(docs)
+    schema = "held boolean, x array<double>, y boolean, made boolean"
+    count = docs.select("doc_id", "text").mapInArrow(pii.examples, schema).count()
+    assert count > 20_000 and seen and all(s.tolist() == [count, 800] for s in seen)
+    monkeypatch.setattr(pii, "DRIVER_ROWS", 0)
+    by_tasks = pii.learn(docs.repartition(7))
+    assert by_tasks.thresholds == model.thresholds
+    for a, b in zip(by_tasks.trees.trees, model.trees.trees, strict=True):
+        assert (a.feature == b.feature).all() and (a.cut == b.cut).all() and (a.value == b.value).all()
+
+
 def test_boosted_trees_learn_and_calibrate():
     rng = np.random.default_rng(0)
     x = rng.random((2000, 3))
