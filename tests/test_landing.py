@@ -185,3 +185,16 @@ def test_rows_of_more_partitions_than_files_open_are_written(spark, tmp_path):
     with unsorted_writes(spark):
         rows.write.partitionBy("part").parquet(path)
     assert {tuple(r) for r in spark.read.parquet(path).collect()} == {(k, k % n) for k in range(3 * n)}
+
+
+def test_landing_sorts_by_a_hash_of_the_key_first(spark, tmp_path, rows):
+    """Window ends of one day share their first words, by which a sort tells rows apart."""
+    new = windowed(spark, WEATHER, states=("Goa", "Goa", None, None, "Delhi"))
+    landed = windowed(spark, WEATHER, states=("Delhi", None))
+    out = land_new(new, landed, ENTITY_KEY)
+    assert out.columns == new.columns
+    assert rows(out, "state") == [("Goa",), (None,)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line]
+    assert sorts and all("Sort [_key_mark" in line for line in sorts)
+    assert plan.count("Exchange hashpartitioning(_key_mark") >= 1
